@@ -43,7 +43,7 @@ def join_reference(
     if hot:
         on.append(_SALT)
         is_hot = column(key).isin(list(hot))
-        facts = facts.withColumn(
+        facts = facts.filter(column(key).isNotNull()).withColumn(
             _SALT,
             F.when(is_hot, F.floor(F.rand(seed=17) * ways).cast("int")).otherwise(F.lit(0)),
         )

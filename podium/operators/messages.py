@@ -43,9 +43,11 @@ def parse_messages(
         schema = StructType([*schema.fields]).add(bad_record, StringType())
         options["columnNameOfCorruptRecord"] = bad_record
     payload = F.from_json(column("value").cast("string"), schema, options)
-    return messages.select(*[column(name) for name in carry], payload.alias("payload")).select(
-        *[column(name) for name in carry], "payload.*"
-    )
+    # `inline` of the one struct gives the same columns as `payload.*`, but conditions on them
+    # (numbers present, join key present) are not pushed below it. Below it they would parse the
+    # text again, once per condition.
+    fields = F.inline(F.array(payload))
+    return messages.select(*[column(name) for name in carry], fields)
 
 
 def observe_bad(parsed: DataFrame, bad_record: str, name: str = "messages") -> DataFrame:

@@ -1,0 +1,86 @@
+"""Column expressions on hand-made and generated values."""
+
+import datetime as dt
+import math
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from podium.functions import as_double, as_float, as_int, clean_text, is_number, parse_born
+from podium.functions.text import KEEP_CLASS, NULL_TOKEN
+
+
+def python_clean(text):
+    """Per-row model of the cleaner, character by character."""
+    text = NULL_TOKEN if text is None else text
+    return "".join(c for c in text if re.fullmatch(f"[{KEEP_CLASS}]", c))
+
+
+def one_column(spark, values, column):
+    rows = spark.createDataFrame(list(enumerate(values)), "i INT, v STRING")
+    return [r[0] for r in rows.orderBy("i").select(column).collect()]
+
+
+EDGE_TEXTS = [
+    None, "", "Great Britain", "-5", "176-180", "1.5e-3", "a\\b", "it's \"x\"", "Zoë", "line\nbreak",
+    "tab\tcr\r", "日本語", "a​b", "😀ok", "#1, 2.", "a_b", "ſK", " None ",
+]
+
+
+def test_clean_text_edges(spark):
+    got = one_column(spark, EDGE_TEXTS, clean_text("v"))
+    assert got == [python_clean(t) for t in EDGE_TEXTS]
+    assert got[0] == "None" and got[2] == "GreatBritain" and got[3] == "5" and got[4] == "176180"
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.text(max_size=60)), min_size=1, max_size=40))
+def test_clean_text_equals_model(spark, texts):
+    texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
+    assert one_column(spark, texts, clean_text("v")) == [python_clean(t) for t in texts]
+
+
+def test_clean_text_options(spark):
+    assert one_column(spark, [None, "a b"], clean_text("v", null_token=None)) == [None, "ab"]
+    assert one_column(spark, [None, "a b-1"], clean_text("v", keep="a-z ")) == ["one", "a b"]
+    long_text = "ab c-" * 50_000
+    assert one_column(spark, [long_text], F.length(clean_text("v"))) == [150_000]
+
+
+def test_clean_text_stays_in_code_generation(spark):
+    plan = spark.range(3).select(clean_text(F.col("id").cast("string")).alias("t"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "*(1) Project" in text
+
+
+NUMBERS = {
+    "180": 180.0, " 180 ": 180.0, "1d": 1.0, "1e3": 1000.0, "": None, "63,65": None,
+    "None": None, "176-180": None, None: None, "Infinity": math.inf, "-5.5": -5.5,
+}
+
+
+def test_numbers_never_fail(spark):
+    assert one_column(spark, NUMBERS, as_double("v")) == list(NUMBERS.values())
+    assert one_column(spark, NUMBERS, as_float("v")) == list(NUMBERS.values())
+    assert one_column(spark, ["7", "x", "99999999999", None], as_int("v")) == [7, None, None, None]
+    assert one_column(spark, NUMBERS, is_number("v")) == [
+        v is not None for v in NUMBERS.values()
+    ]
+
+
+def test_nan_is_a_number_unless_dropped(spark):
+    assert one_column(spark, ["NaN", "1"], is_number("v")) == [True, True]
+    assert one_column(spark, ["NaN", "1"], is_number("v", drop_nan=True)) == [False, True]
+    assert math.isnan(one_column(spark, ["NaN"], as_double("v"))[0])
+
+
+@pytest.mark.parametrize(
+    ("text", "born"),
+    [("19July1985", dt.date(1985, 7, 19)), ("1May1901", dt.date(1901, 5, 1)),
+     ("July1985", None), ("31February1990", None), ("", None), (None, None)],
+)
+def test_parse_born(spark, text, born):
+    assert one_column(spark, [text], parse_born("v")) == [born]
