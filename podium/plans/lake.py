@@ -1,7 +1,8 @@
 """Landing files to gold averages, one layer at a time.
 
 The layers hand over through Parquet folders, so each step can be run again on its own. No step
-looks at its rows on the driver, and each computes its plan once.
+looks at its rows on the driver, each computes its plan once, and each sizes its shuffles by its
+input.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.sql import Column, SparkSession
 
 from podium.functions.text import KEEP_CLASS, NULL_TOKEN
 from podium.operators.cleaning import clean_strings, deduplicate
+from podium.operators.joins import plan_bytes
 from podium.operators.stats import GOLD, StatsSpec, reference_stats
 from podium.schemas import GOLD_TABLE, TABLES
+from podium.session import sized_shuffles
 from podium.sinks.lake import write_layer
 from podium.sources.lake import read_landing_csv, read_layer
 
@@ -42,7 +45,8 @@ def bronze_to_silver(
     """Bronze to silver: clean all text, then drop rows that have become equal."""
     for table in tables:
         rows = clean_strings(read_layer(spark, lake, "bronze", table), None, keep, null_token)
-        write_layer(deduplicate(rows), lake, "silver", table)
+        with sized_shuffles(spark, plan_bytes(rows)):
+            write_layer(deduplicate(rows), lake, "silver", table)
 
 
 def silver_to_gold(
@@ -56,7 +60,8 @@ def silver_to_gold(
     """Silver to gold: averages per group. `tables` are the reference table and the facts."""
     reference, facts = (read_layer(spark, lake, "silver", table) for table in tables)
     stats = reference_stats(facts, reference, spec, stamp_value=stamp_value)
-    return write_layer(stats, lake, "gold", gold_table)
+    with sized_shuffles(spark, plan_bytes(facts) + plan_bytes(reference)):
+        return write_layer(stats, lake, "gold", gold_table)
 
 
 def run_lake(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +39,33 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+# Batch shuffles: bytes of input per partition, and the most partitions worth tracking.
+_BYTES_PER_PARTITION = 256 * 1024 * 1024
+_MOST_PARTITIONS = 50_000
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Give the batch jobs inside the block enough shuffle partitions for `input_bytes`.
+
+    A fixed ``spark.sql.shuffle.partitions`` that suits a gigabyte leaves partitions of hundreds of
+    gigabytes at 100 TB. Adaptive execution merges small partitions but never splits them for an
+    aggregate, so the number it starts from has to follow the input. A number the caller has set
+    is respected, and nothing changes without adaptive execution or for small inputs.
+    """
+    needed = min(-(-input_bytes // _BYTES_PER_PARTITION), _MOST_PARTITIONS)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed <= usual or spark.conf.get(_INITIAL_PARTITIONS, None) is not None:
+        yield
+        return
+    spark.conf.set(_INITIAL_PARTITIONS, str(needed))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_INITIAL_PARTITIONS)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -1,12 +1,13 @@
 """What only exists on a stream."""
 
 from podium.streaming.start import EVERY_10_SECONDS, UNTIL_CAUGHT_UP, start_console, start_fan_out
-from podium.streaming.tables import read_history, snapshot, stream_table
+from podium.streaming.tables import bucketed_snapshot, read_history, snapshot, stream_table
 from podium.streaming.windows import windowed_averages
 
 __all__ = [
     "EVERY_10_SECONDS",
     "UNTIL_CAUGHT_UP",
+    "bucketed_snapshot",
     "read_history",
     "snapshot",
     "start_console",

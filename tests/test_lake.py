@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from podium.operators import clean_strings, deduplicate
 from podium.plans import bronze_to_silver, landing_to_bronze, run_lake, silver_to_gold
 from podium.schemas import GOLD_STATS
+from podium.session import sized_shuffles
 from podium.sinks import write_layer
 from podium.sources import empty_like, layer_path, read_landing_csv, read_layer
 from tests.athletes import bio, results
+from tests.settings import session_conf
 
 
 def write_text(path, text):
@@ -65,6 +67,26 @@ def test_empty_like(spark):
     assert dict(df.dtypes)["timestamp"] == "timestamp"
 
 
+def test_shuffles_follow_the_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with sized_shuffles(spark, 10**9):
+        assert spark.conf.get(name, None) is None  # the usual number is enough
+    with sized_shuffles(spark, 10**12):
+        assert spark.conf.get(name) == "3726"
+        # Really used, and merged again where there is little to shuffle.
+        spread = spark.range(10_000).selectExpr("id % 100 AS k").groupBy("k").count()
+        spread.collect()
+        plan = spread._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" in plan and ", 3726)" in plan and "AQEShuffleRead" in plan
+    assert spark.conf.get(name, None) is None
+    with pytest.raises(RuntimeError), sized_shuffles(spark, 10**14):
+        assert spark.conf.get(name) == "50000"
+        raise RuntimeError
+    assert spark.conf.get(name, None) is None
+    with session_conf(spark, {name: "12"}), sized_shuffles(spark, 10**14):
+        assert spark.conf.get(name) == "12"
+
+
 # Jobs
 
 

@@ -25,6 +25,7 @@ from podium.sinks import console_writer, fan_out, files_writer
 from podium.streaming import (
     EVERY_10_SECONDS,
     UNTIL_CAUGHT_UP,
+    bucketed_snapshot,
     read_history,
     snapshot,
     start_console,
@@ -167,6 +168,29 @@ def test_snapshot(spark, tmp_path):
     assert frozen.columns == bio(spark).columns and frozen.count() == 9
 
 
+def test_bucketed_snapshot_is_not_shuffled_again(spark, tmp_path):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "4",
+    }
+    topic, out = FileTopic(str(tmp_path / "topic")), str(tmp_path / "out")
+    send(spark, topic, RESULTS[:5])
+    send(spark, topic, RESULTS[5:])
+    typed = bio(spark).withColumn("athlete_id", F.col("athlete_id").try_cast("int"))
+    with session_conf(spark, conf):
+        frozen = bucketed_snapshot(typed, "bio_buckets", str(tmp_path / "b"), "athlete_id", 4)
+        query = run(
+            stream_stats(
+                topic.stream(spark, maxFilesPerTrigger=1), frozen, [files_writer(out)],
+                str(tmp_path / "c"), trigger=UNTIL_CAUGHT_UP,
+            )
+        )
+        plan = query._jsq.explainInternal(False)
+    # One exchange for the facts, one for the groups, none for the static side.
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 2
+    assert as_stats(latest_per_key(read_history(spark, out), KEYS, "batch_id")) == STATS
+
+
 # Fan-out
 
 
