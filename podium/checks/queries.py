@@ -79,8 +79,8 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bytes_per_batch(df: DataFrame, batches: int) -> int:
-    """A micro-batch size that takes the files of `df` in about `batches` pieces."""
-    return plan_bytes(df) // batches + 1
+    """A micro-batch size that takes the files of `df` in `batches` pieces, of 1 TB at most."""
+    return min(plan_bytes(df) // batches + 1, 2**40)
 
 
 # Averages

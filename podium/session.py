@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Fewer, longer scan tasks: every task's output is one more block for each shuffle partition.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # Event-time windows are aligned to the UTC epoch; keep the session there too.
     "spark.sql.session.timeZone": "UTC",
     # State on local disk with incremental uploads: size is not bounded by executor heap.
