@@ -7,9 +7,11 @@ input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, SparkSession
 
 from podium.functions.text import KEEP_CLASS, NULL_TOKEN
@@ -22,6 +24,16 @@ from podium.sinks.lake import write_layer
 from podium.sources.lake import read_landing_csv, read_layer
 
 
+def _side_by_side(
+    spark: SparkSession, tables: Sequence[str], step: Callable[[str], object]
+) -> None:
+    """Run `step` for every table at once: one table's last tasks leave room for the next one's."""
+    target = inheritable_thread_target(spark)(step)
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        for done in [pool.submit(target, table) for table in tables]:
+            done.result()
+
+
 def landing_to_bronze(
     spark: SparkSession,
     landing: str,
@@ -30,10 +42,13 @@ def landing_to_bronze(
     **csv_options: Any,
 ) -> None:
     """``<landing>/<table>.csv`` to the bronze layer, as text."""
-    for table in tables:
+
+    def step(table: str) -> None:
         rows = read_landing_csv(spark, f"{landing.rstrip('/')}/{table}.csv", **csv_options)
         write_layer(rows, lake, "bronze", table)
 
+    _side_by_side(spark, tables, step)
+
 
 def bronze_to_silver(
     spark: SparkSession,
@@ -43,10 +58,14 @@ def bronze_to_silver(
     null_token: str | None = NULL_TOKEN,
 ) -> None:
     """Bronze to silver: clean all text, then drop rows that have become equal."""
-    for table in tables:
-        rows = clean_strings(read_layer(spark, lake, "bronze", table), None, keep, null_token)
-        with sized_shuffles(spark, plan_bytes(rows)):
-            write_layer(deduplicate(rows), lake, "silver", table)
+    bronze = {table: read_layer(spark, lake, "bronze", table) for table in tables}
+
+    def step(table: str) -> None:
+        rows = clean_strings(bronze[table], None, keep, null_token)
+        write_layer(deduplicate(rows), lake, "silver", table)
+
+    with sized_shuffles(spark, max(map(plan_bytes, bronze.values()), default=0)):
+        _side_by_side(spark, tables, step)
 
 
 def silver_to_gold(
