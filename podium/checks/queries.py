@@ -331,17 +331,17 @@ def q_jdbc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     customers = _table(spark, folder, "customer")
     connection, table = database(spark), fresh_table("customer")
     create_jdbc_table(spark, customers.schema, connection, table)
-    write_jdbc(customers, connection, table)
-    ranges = key_range(spark, connection, table, "c_custkey", tasks=8)
+    write_jdbc(customers, connection, table, max_connections=64)
+    ranges = key_range(spark, connection, table, "c_custkey", tasks=32)
     return read_jdbc(spark, connection, table, partition=ranges)
 
 
 @_query
 def q_publish_table(spark: SparkSession, folder: str) -> DataFrame:
     connection, table = database(spark), fresh_table("customer")
-    write_jdbc(_customers(spark, folder), connection, table)
+    write_jdbc(_customers(spark, folder), connection, table, max_connections=64)
     topic = FileTopic(scratch_dir(spark, "topic"))
-    ranges = key_range(spark, connection, table, "custkey", tasks=8)
+    ranges = key_range(spark, connection, table, "custkey", tasks=32)
     publish_table(spark, connection, table, topic, "custkey", partition=ranges)
     messages = topic.batch(spark).withColumn("key", F.col("key").cast("string"))
     return parse_messages(messages, CUSTOMER, carry=["key"])

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         .appName("podium-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TIME_ZONE", "UTC"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={work}")
