@@ -31,7 +31,7 @@ from podium.schemas import STREAM_STATS, TABLES
 from podium.session import build_session
 from podium.sinks import create_jdbc_table, jdbc_writer
 from podium.sources import Jdbc, kafka_options, key_range, read_jdbc
-from podium.streaming import EVERY_10_SECONDS, UNTIL_CAUGHT_UP
+from podium.streaming import EVERY_10_SECONDS, UNTIL_CAUGHT_UP, snapshot
 
 BATCH_ID = "batch_id"
 
@@ -69,9 +69,12 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     limits = {}
     if args.max_messages is not None and isinstance(topic, KafkaTopic):
         limits["max_messages"] = args.max_messages
+    reference = read_jdbc(spark, db, args.reference)
+    if args.snapshot:
+        reference = snapshot(reference, args.snapshot)
     stream_stats(
         topic.stream(spark, **limits),
-        read_jdbc(spark, db, args.reference),
+        reference,
         [_topic(args.to_topic).writer(), jdbc_writer(db, args.to_table, BATCH_ID)],
         args.checkpoint,
         trigger=UNTIL_CAUGHT_UP if args.catch_up else EVERY_10_SECONDS,
@@ -138,6 +141,7 @@ def _parser() -> argparse.ArgumentParser:
     command = step("stream", _stream, "running averages from a topic to a topic and a table")
     command.add_argument("--topic", required=True)
     command.add_argument("--reference", required=True, help="database table with the athletes")
+    command.add_argument("--snapshot", help="folder to copy that table to, and read it from")
     command.add_argument("--to-topic", required=True)
     command.add_argument("--to-table", required=True)
     command.add_argument("--checkpoint", required=True)

@@ -41,7 +41,8 @@ def test_stream_steps(spark, tmp_path, monkeypatch, capsys):
     )
     main(
         ["stream", "--topic", source, "--reference", "bio", "--to-topic", target,
-         "--to-table", "stats", "--checkpoint", f"{tmp_path}/c", "--catch-up"],
+         "--to-table", "stats", "--checkpoint", f"{tmp_path}/c", "--catch-up",
+         "--snapshot", f"{tmp_path}/bio"],
         spark,
     )
     assert as_stats(read_jdbc(spark, db, "stats")) == STATS

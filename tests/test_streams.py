@@ -225,6 +225,15 @@ def test_fan_out_skips_empty_batches_and_frees_after_errors(spark):
     assert not batch.storageLevel.useMemory
 
 
+def test_fan_out_writes_few_rows_with_few_tasks(spark):
+    tasks = []
+    sink = lambda b, i: tasks.append((b.rdd.getNumPartitions(), b.count()))
+    fan_out(sink)(spark.range(0, 100, 1, 8), 0)
+    fan_out(sink, rows_per_task=30)(spark.range(0, 100, 1, 8), 1)
+    fan_out(sink, rows_per_task=1)(spark.range(0, 100, 1, 8), 2)
+    assert tasks == [(1, 100), (4, 100), (8, 100)]
+
+
 def test_telemetry_goes_to_two_sinks(spark, tmp_path):
     source, target = FileTopic(str(tmp_path / "in")), FileTopic(str(tmp_path / "out"))
     readings = [(1.5, 7), (2.5, 8), (3.5, None)]
@@ -374,3 +383,12 @@ def test_recommended_state_store(spark, tmp_path):
         query = run(start(spark, tmp_path, [files_writer(out)]))
     assert "rocksdbCommitCheckpointLatency" in query.recentProgress[0].stateOperators[0].customMetrics
     assert as_stats(latest_per_key(read_history(spark, out), KEYS, "batch_id")) == STATS
+
+
+def test_a_sink_that_looks_at_a_few_rows_does_not_lose_state(spark, tmp_path):
+    topic, seen = FileTopic(str(tmp_path / "topic")), []
+    rows = [("2000", "e", "NOR", f"sport{i}", "x", "r", "Ann", 1, "1", None, "f") for i in range(60)]
+    for _ in range(3):
+        send(spark, topic, rows)
+    run(start(spark, tmp_path, [lambda batch, batch_id: seen.append(len(batch.take(1)))]))
+    assert seen == [1, 1, 1]
