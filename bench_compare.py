@@ -20,6 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from podium.functions.text import KEEP_CLASS, clean_text  # noqa: E402
 from podium.operators import (  # noqa: E402
     StatsSpec,
+    clean_strings,
+    deduplicate,
     group_averages,
     join_reference,
     parse_messages,
@@ -99,6 +101,26 @@ def main() -> None:
         python_udf=lambda: run(short.select(*[one_by_one(c).alias(c) for c in short.columns])),
     )
 
+    # A silver step as a whole: clean, de-duplicate, write.
+    bronze = copies("orders", COPIES).select(
+        *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey")],
+        F.concat("o_orderpriority", (F.rand(seed=1) * 5).cast("int")).alias("o_orderpriority"),
+        "o_orderstatus",
+    )
+
+    def silver() -> None:
+        deduplicate(clean_strings(bronze)).write.parquet(scratch_dir(spark, "silver"))
+
+    def silver_by_udf() -> None:
+        cleaned = bronze
+        for name in bronze.columns:
+            cleaned = cleaned.withColumn(name, one_by_one(name))
+        cleaned = cleaned.dropDuplicates()
+        cleaned.take(20)  # a preview before the write runs the plan once more
+        cleaned.write.parquet(scratch_dir(spark, "silver"))
+
+    compare("silver step", native=silver, python_udf_and_preview=silver_by_udf)
+
     # Messages: parse, join, average.
     events = copies("events", COPIES)
     customers = spark.read.parquet(f"{FOLDER}/customer.parquet")
