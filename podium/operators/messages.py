@@ -29,18 +29,21 @@ def parse_messages(
     schema: str | StructType,
     bad_record: str | None = None,
     carry: Sequence[str] = (),
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """The fields of `schema` out of each message's `value`, preceded by the columns in `carry`.
 
     Nothing is rejected: a message that is no JSON object gives a row of nulls, a field of the
     wrong type gives null for that field, unknown fields are ignored, and names are matched with
     their case. `bad_record` names an extra column holding the raw text of messages that are
-    malformed or mistyped, null for good ones.
+    malformed or mistyped, null for good ones. `only` restricts the fields of `schema` to those
+    named; the others are skipped over in the text instead of being converted.
     """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    schema = StructType([f for f in schema.fields if only is None or f.name in only])
     options = {}
     if bad_record is not None:
-        schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        schema = StructType([*schema.fields]).add(bad_record, StringType())
+        schema = schema.add(bad_record, StringType())
         options["columnNameOfCorruptRecord"] = bad_record
     payload = F.from_json(column("value").cast("string"), schema, options)
     # `inline` of the one struct gives the same columns as `payload.*`, but conditions on them

@@ -26,7 +26,7 @@ class StatsSpec:
     """
 
     key: str
-    group_by: Sequence[str]
+    group_by: Sequence[str | Column]
     averages: Mapping[str, str] = field(default_factory=dict)
     measure_type: str = "double"
     scale: int | None = None
@@ -35,6 +35,11 @@ class StatsSpec:
     reference_first: bool = False
     drop_nan: bool = False
 
+    def columns(self) -> list[str]:
+        """Names of the input columns: key, groups given by name, and measures."""
+        named = [key for key in self.group_by if isinstance(key, str)]
+        return list(dict.fromkeys([self.key, *named, *self.averages.values()]))
+
 
 # Grouping, rounding, measure type and column order of the two published results.
 GOLD = StatsSpec(
@@ -97,7 +102,7 @@ def measured_facts(
     Only the columns the statistics need go into the join. A measure is converted on the side it
     comes from, before the join, so rows that cannot count are dropped before any shuffle.
     """
-    wanted = [spec.key, *[k for k in spec.group_by if isinstance(k, str)], *spec.averages.values()]
+    wanted = spec.columns()
     shared = set(facts.columns) - {spec.key}
     reference = reference.select(
         *[column(c) for c in reference.columns if c in wanted and c not in shared]
