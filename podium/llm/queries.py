@@ -10,8 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.common import table
+from podium.llm.common import held_out, table
 from podium.llm.exact_dedup import exact_duplicates
+from podium.llm.langid import identify_languages
+from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
 
 
@@ -21,13 +23,27 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", printed.alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs, learn_from=~held_out("doc_id", 4, 2))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = score_quality(docs, labels, learn_from=~held_out("doc_id", 3, 1))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_language_id": op4_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
 }
 
 SQL = {
