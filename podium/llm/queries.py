@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm.common import held_out, table
+from podium.llm.decontaminate import contaminated
 from podium.llm.exact_dedup import exact_duplicates
 from podium.llm.langid import identify_languages
+from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
 
@@ -39,11 +41,32 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_spans(table(spark, sf_dir, "documents"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = (
+        (F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)
+    )
+    base = digest(F.col("spans"), KINDS)
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        digest(F.col("spans"), (*KINDS, TERM)).alias("spans"),
+    )
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_language_id": op4_language_id,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
+    "op9_pii": op9_pii,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL = {
