@@ -9,7 +9,10 @@ from podium.llm.common import staged, unstage
 
 
 def _star(links: DataFrame, nearest: DataFrame) -> DataFrame:
-    return links.join(nearest, "u")
+    # The second key makes Spark deal both sides anew, so that adaptive execution can split a node
+    # of very many links; what is aggregated by "u" alone would be joined where it is.
+    again = F.hash("u").alias("k")
+    return links.select("*", again).join(nearest.select("*", again), ["k", "u"])
 
 
 def _large(links: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from podium.llm.langid import identify_languages
 from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
+from podium.llm.substring_dedup import without_repeats
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -63,6 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_language_id": op4_language_id,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
