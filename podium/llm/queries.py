@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from podium.llm.common import held_out, table
 from podium.llm.decontaminate import contaminated
 from podium.llm.exact_dedup import exact_duplicates
+from podium.llm.html_extract import extract_pages
 from podium.llm.langid import identify_languages
 from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
@@ -20,6 +21,10 @@ from podium.llm.simhash import near_duplicates
 from podium.llm.substring_dedup import without_repeats
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=4)
     printed = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -67,6 +72,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_simhash": op2_simhash,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
