@@ -15,6 +15,7 @@ from podium.llm.decontaminate import contaminated
 from podium.llm.exact_dedup import exact_duplicates
 from podium.llm.html_extract import extract_pages
 from podium.llm.langid import identify_languages
+from podium.llm.lattice_lm import score_texts
 from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
@@ -31,6 +32,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", printed.alias("fingerprint"), "component_id")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = held_out("doc_id", 7, 2)
+    found = score_texts(table(spark, sf_dir, "documents"), learn_from=~held, group="lang")
+    return found.select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify_languages(docs, learn_from=~held_out("doc_id", 4, 2))
@@ -74,6 +83,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_simhash": op2_simhash,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
