@@ -16,6 +16,7 @@ from podium.llm.exact_dedup import exact_duplicates
 from podium.llm.html_extract import extract_pages
 from podium.llm.langid import identify_languages
 from podium.llm.lattice_lm import score_texts
+from podium.llm.packing import packed
 from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
@@ -51,6 +52,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
