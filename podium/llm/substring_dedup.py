@@ -20,9 +20,6 @@ WINDOW = 20
 ANCHOR = 6
 # Words that one shard indexes, and streams, at most.
 SHARD_WORDS = 1 << 17
-# Most passages that are sent to all executors, a few dozen bytes each; above it they are joined by
-# a shuffle. The results do not depend on it.
-MOST_BROADCAST = 1_000_000
 
 # Odd numbers for rolling hashes; any will do, but they have to stay the same.
 _ANCHOR_BASE, _RUN_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -96,14 +93,11 @@ def _dealt_anew(frame: DataFrame, *keys: str) -> DataFrame:
     return frame.withColumn("_deal", F.hash(*keys))
 
 
-def _hint(frame: DataFrame, rows: int, most: int) -> DataFrame:
-    return frame.hint("broadcast" if rows <= most else "shuffle_hash")
-
-
-def _with_words(docs: DataFrame, wanted: DataFrame, rows: int, most: int, window: int) -> DataFrame:
+def _with_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """`wanted` (anchor, run, doc_id, start, count), each with its coded words as bytes."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "run", "start", "count")).alias("runs"))
-    joined = docs.join(_hint(lists, rows, most), "doc_id").select("doc_id", "text", "runs")
+    # The lists are the hashed side, so the texts are dealt out but never sorted.
+    joined = docs.join(lists.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -158,19 +152,19 @@ def _searched(group: pa.Table, window: int) -> pa.Table:
     )
 
 
-def _earlier_elsewhere(docs: DataFrame, different: DataFrame, window: int, shard_words: int, most: int) -> DataFrame:
+def _earlier_elsewhere(docs: DataFrame, different: DataFrame, window: int, shard_words: int) -> DataFrame:
     """Windows (doc_id, start, count) of `different` passages that another of them has earlier.
 
     Passages with equal anchors meet in one shard. An anchor with too many words for a shard has
     shards of its own, each of which a part of its passages is indexed in and all are streamed past.
     """
     size = F.col("count") + window - 1
-    total, rows = different.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
+    total = different.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
     hot = different.groupBy("anchor").agg(F.sum(size).alias("_words")).where(F.col("_words") > shard_words).select(
         "anchor", F.ceil(F.col("_words") / shard_words).cast("int").alias("parts")
     )
-    dealt = _with_words(docs, different, rows, most, window)
+    dealt = _with_words(docs, different, window)
     dealt = _dealt_anew(dealt, "anchor").join(_dealt_anew(hot, "anchor"), ["_deal", "anchor"], "left")
     parts = F.coalesce("parts", F.lit(1))
     dealt = dealt.select(
@@ -206,7 +200,6 @@ def repeated_passages(
     window: int = WINDOW,
     anchor: int = ANCHOR,
     shard_words: int = SHARD_WORDS,
-    most_broadcast: int = MOST_BROADCAST,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -257,7 +250,7 @@ def repeated_passages(
         _dealt_anew(passages, "anchor").join(_dealt_anew(several, "anchor"), ["_deal", "anchor"], "left_semi").drop("_deal"),
         "different-passages",
     )
-    inside = _earlier_elsewhere(rows, different, window, shard_words, most_broadcast)
+    inside = _earlier_elsewhere(rows, different, window, shard_words)
     covered = later.unionByName(inside).select(
         "doc_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("count") + window - 1).cast("long").alias("end")
     )
@@ -272,19 +265,17 @@ def repeated_passages(
     return found
 
 
-def without_repeats(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", most_broadcast: int = MOST_BROADCAST, **options
-) -> DataFrame:
+def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_removed, kept (the words that stay, joined by
     one space), kept_sha256.
 
     The words inside :func:`repeated_passages` are removed. A null text has no words; a row without
     an id keeps all of its words.
     """
-    found = repeated_passages(docs, doc_id=doc_id, text=text, most_broadcast=most_broadcast, **options)
+    found = repeated_passages(docs, doc_id=doc_id, text=text, **options)
     lists = found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("gone"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    joined = rows.join(_hint(lists, found.count(), most_broadcast), "doc_id", "left").select("doc_id", "text", "gone")
+    joined = rows.join(lists.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
