@@ -1,0 +1,185 @@
+"""Language identification, quality and language-model scores."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from podium.llm.common import held_out
+from podium.llm.langid import BUCKETS, ORDERS, _pieces, identify_languages, learn, predict
+from podium.llm.lattice_lm import Lattice, expected, load_vocabulary, score_texts, word_scores, words_of
+from podium.llm.quality import FEATURES, features, keep_quality, score_quality
+
+from .samples import documents, many_partitions
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_held_out_rows(spark):
+    ids = [0, 1, 7, 123, 99999, None]
+    frame = spark.createDataFrame([(i,) for i in ids], "doc_id long").withColumn("held", held_out("doc_id", 4, 2))
+    assert [r.held for r in frame.collect()] == [i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in ids]
+
+
+# --- languages
+
+
+def test_steps_hash_every_ngram_once(monkeypatch):
+    from podium.llm import langid
+
+    text = "abcdefgh ijkl mnop" * 7
+    whole = np.bincount(next(_pieces([text]))[0], minlength=BUCKETS)
+    monkeypatch.setattr(langid, "_STEP", 10)
+    parts = sum(np.bincount(buckets, minlength=BUCKETS) for buckets, _ in _pieces([text]))
+    assert (whole == parts).all()
+    assert whole.sum() == sum(len(text) - n + 1 for n in ORDERS)
+
+
+def test_languages_of_awkward_rows(spark):
+    train = [(i, "the cat sat on the mat and the dog", "en") for i in range(5)] + [(10 + i, "der hund und die katze sind auf dem dach", "de") for i in range(4)]
+    asked = [(20, "the dog and the cat", None), (21, "die katze und der hund", None), (22, None, "en"), (23, "", "en"), (24, "12 + 34 !!", "de"), (None, "the the the", None), (20, "the dog and the cat", None), (25, "und die " * 40_000, None)]
+    docs = spark.createDataFrame(train + asked, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
+    got = identify_languages(docs, learn_from=F.col("doc_id") < 20).where("doc_id is null or doc_id >= 20").collect()
+    expected_langs = {20: "en", 21: "de", 22: "und", 23: "und", 24: "und", None: "en", 25: "de"}
+    assert len(got) == len(asked)
+    for row in got:
+        assert row.lang_pred == expected_langs[row.doc_id]
+        assert 0 <= row.score <= 1 and (row.score == 0) == (row.lang_pred == "und")
+    nothing = identify_languages(docs, learn_from=F.lit(False))
+    assert {(r.lang_pred, r.score) for r in nothing.collect()} == {("und", 0.0)}
+    assert identify_languages(docs.limit(0)).count() == 0
+
+
+def test_scores_are_naive_bayes_posteriors(spark):
+    docs = spark.createDataFrame([(1, "abab", "x"), (2, "abcb", "x"), (3, "ccd", "y")], "doc_id long, text string, lang string")
+    names, matrix = learn(docs)
+    assert names == ["x", "y"] and np.allclose(np.exp(matrix[:, :-1]).sum(axis=1), 1)
+    assert np.allclose(np.exp(matrix[:, -1]), [2 / 3, 1 / 3])
+    buckets, _ = next(_pieces(["abc"]))
+    logs = matrix[:, buckets].sum(axis=1) + matrix[:, -1]
+    langs, scores = predict(["abc"], names, matrix)
+    assert langs == [names[logs.argmax()]] and math.isclose(scores[0], np.exp(logs).max() / np.exp(logs).sum())
+
+
+def test_languages_held_out(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = identify_languages(docs, learn_from=~held_out("doc_id", 4, 2)).where(held_out("doc_id", 4, 2))
+    right = got.join(docs.select("doc_id", "lang"), "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right > 0.98
+
+
+# --- quality
+
+
+def test_features_of_awkward_texts():
+    for text in (None, "", " ", "\n\n", "a", "É" * 10, "word " * 50_000, "|" * 9, "\ud800"):
+        found = features(text)
+        assert found.shape == (FEATURES,) and np.isfinite(found).all() and (found <= 1).all() and (found >= 0).all()
+
+
+def test_quality_held_out_and_filter(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels"))
+    train = ~held_out("doc_id", 3, 1)
+    got = score_quality(docs, labels, learn_from=train)
+    judged = got.where(~train).join(labels, "doc_id").collect()
+    assert np.mean([row.predicted == row.quality for row in judged]) > 0.95
+    assert all(0 <= row.score <= 1 and row.predicted == (row.score >= 0.5) for row in judged)
+    kept = keep_quality(docs, labels, learn_from=train)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got.where("predicted = 1").collect())
+
+
+def test_marks_of_zero_only_set_the_prior(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels"))
+    positives = labels.where("quality = 1")
+    one = score_quality(docs, labels, prior=0.85)
+    other = score_quality(docs, positives, prior=0.85)
+    pairs = one.alias("a").join(other.alias("b"), "doc_id").select(F.abs(F.col("a.score") - F.col("b.score")).alias("d"))
+    assert pairs.agg(F.max("d")).first()[0] < 1e-6
+
+
+def test_quality_of_awkward_rows(spark):
+    rows = [(1, None), (2, ""), (3, "plain text of some words"), (3, "plain text of some words"), (None, "more"), (4, "x" * 100_000)]
+    docs = many_partitions(documents(spark, rows))
+    labels = spark.createDataFrame([(3, 1), (3, 0), (4, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    got = score_quality(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id == 3}) == 1
+    unlabelled = score_quality(docs, labels.limit(0)).collect()
+    assert {(r.score, r.predicted) for r in unlabelled} == {(0.5, 1)}
+    assert score_quality(docs.limit(0), labels).count() == 0
+
+
+# --- language model
+
+
+def brute_lattice(word, pieces, scores):
+    data = b" " + word
+    total = [1.0] + [0.0] * len(data)
+    for end in range(1, len(data) + 1):
+        total[end] = sum(total[a] * math.exp(scores[data[a:end]]) for a in range(end) if data[a:end] in pieces)
+    return math.log(total[-1])
+
+
+def test_lattice_weighs_all_segmentations():
+    pieces, scores = load_vocabulary()
+    assert math.isclose(np.exp(scores).sum(), 1) and len(set(pieces)) == len(pieces)
+    table = dict(zip(pieces, scores))
+    words = [b"the", b"interesting", "été".encode(), b"\xff\x00", b"a", b"zzzzzzzzqqqqqqqqqqxxxxxxxxx", b"the"]
+    got = word_scores(Lattice(pieces), words, np.stack([scores, scores - 1], axis=1))
+    for word, (one, other) in zip(words, got):
+        assert math.isclose(one, brute_lattice(word, table, table), rel_tol=1e-9)
+        assert other < one
+    assert np.isfinite(word_scores(Lattice(pieces), [b"ab" * 30_000], scores[:, None])).all()
+
+
+def test_expected_pieces_write_the_words():
+    pieces, scores = load_vocabulary()
+    words = [b"the", b"there", b"xyz", b"there"]
+    counts = np.zeros(len(pieces))
+    for _, sizes, arcs in Lattice(pieces).batches(words):
+        counts += expected(sizes, arcs, scores)
+    # However a word is cut, its pieces have all of its bytes.
+    assert math.isclose(sum(n * len(p) for n, p in zip(counts, pieces)), sum(len(w) + 1 for w in words))
+
+
+def test_base_scores_equal_the_definition(spark):
+    chance = random.Random(9)
+    rows = [(i, " ".join(chance.choices(["Aa", "b", "cc", "d", f"r{i}"], k=30))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "new words only"), (62, "new words only"), (None, "b b b"), (63, "w" * 40_000 + " b")]
+    docs = many_partitions(documents(spark, rows))
+    for share in (2.0**-20, 0.05):  # with and without words that are joined
+        got = score_texts(docs, learn_from=F.col("doc_id") < 40, group="lang", hot_share=share, passes=1).collect()
+        counts = Counter(word for i, text in rows if i is not None and i < 40 for word in words_of(text))
+        n, v = sum(counts.values()) + 40, len(counts) + 1
+        expected_rows = Counter()
+        for i, text in rows:
+            own = words_of(text)
+            base = math.log10(41 / (n + v + 1)) + sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own)
+            expected_rows[i, len(own) + 1, 1 + sum(counts[w] > 0 for w in own), n, round(base, 6)] += 1
+        assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == expected_rows
+        assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+
+
+def test_scores_are_probabilities_and_beat_the_base(spark):
+    # Less training text leaves too many new words, each of which the base counts as one word only.
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = held_out("doc_id", 7, 2)
+    got = score_texts(docs, learn_from=~held, group="lang", passes=1).where(held)
+    score, base = got.agg(F.sum("score"), F.sum("base_score")).first()
+    assert base < score < 0
+    plain = score_texts(docs, learn_from=F.lit(False))
+    rows = plain.limit(5).collect()
+    assert all(r.base_score == 0 and r.n_known == 0 and r.train_tokens == 0 and r.score < 0 for r in rows)
+    assert score_texts(docs.limit(0)).count() == 0
+
+
+def test_model_is_normalised(spark):
+    # Over texts of at most one word made of single letters' bytes, no more than 1 can be spent.
+    docs = documents(spark, [(1, "a b"), (2, "b")] + [(10 + k, chr(97 + k)) for k in range(26)] + [(50, "")])
+    got = {r.doc_id: r.score for r in score_texts(docs, learn_from=F.col("doc_id") < 10, passes=1).collect()}
+    spent = sum(10 ** got[10 + k] for k in range(26)) + 10 ** got[50]
+    assert 0 < spent < 1
