@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from podium.checks.database import database, fresh_table
 from podium.functions import as_double, as_int, clean_text, parse_born
@@ -15,7 +16,6 @@ from podium.operators import (
     StatsSpec,
     clean_strings,
     deduplicate,
-    fits_broadcast,
     hot_keys,
     join_reference,
     latest_per_key,
@@ -41,6 +41,8 @@ from podium.sources import empty_like, key_range, read_jdbc, read_layer
 from podium.streaming import (
     UNTIL_CAUGHT_UP,
     read_history,
+    run_number,
+    snapshot,
     start_fan_out,
     stream_table,
     windowed_averages,
@@ -49,7 +51,13 @@ from podium.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+EVENT = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+ORDER = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
 CUSTOMER = """
     custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING
 """
@@ -78,9 +86,26 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "orders").withColumnRenamed("o_custkey", "custkey")
 
 
-def _bytes_per_batch(df: DataFrame, batches: int) -> int:
-    """A micro-batch size that takes the files of `df` in `batches` pieces, of 1 TB at most."""
-    return min(plan_bytes(df) // batches + 1, 2**40)
+# Bytes of files in one micro-batch, which is kept on the executors while it is written.
+BATCH_BYTES = 2**30
+# Ranges that a database table is read in, and connections it is written through: what a database
+# takes at a time, not what a table needs.
+MOST_CONNECTIONS = 64
+ROWS_PER_RANGE = 1_000_000
+
+
+def _batch_bytes(df: DataFrame) -> int:
+    """The size of a micro-batch; tables smaller than a few of them still come in several."""
+    return min(BATCH_BYTES, plan_bytes(df) // 4 + 1)
+
+
+def _ranges(rows: DataFrame) -> int:
+    """How many ranges the rows are worth, as far as the database's connections go."""
+    return max(1, min(MOST_CONNECTIONS, -(-rows.count() // ROWS_PER_RANGE)))
+
+
+def _to_ntz(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})
 
 
 # Averages
@@ -122,6 +147,47 @@ def q_stats_unrounded(spark: SparkSession, folder: str) -> DataFrame:
     return stats.withColumns({name: F.round(name, 6) for name in spec.averages})
 
 
+@_query
+def q_stats_stamped(spark: SparkSession, folder: str) -> DataFrame:
+    spec = StatsSpec(
+        key="custkey",
+        group_by=("o_orderpriority", "c_mktsegment"),
+        averages={"avg_height": "o_totalprice"},
+        scale=3,
+        stamp="timestamp",
+    )
+    stats = reference_stats(_orders(spark, folder), _customers(spark, folder), spec)
+    # The time itself is not known beforehand: it is present, of today, and the same in all rows.
+    now = F.col("timestamp").between(
+        F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp()
+    )
+    same = F.min("timestamp").over(Window.partitionBy("o_orderpriority")) == F.col("timestamp")
+    return stats.select("o_orderpriority", "c_mktsegment", "avg_height", (now & same).alias("stamped"))
+
+
+@_query
+def q_stats_whole_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys as untidy text: with fraction digits, beyond the type, or no number at all."""
+    kinds = F.col("o_orderkey") % 5
+    text = F.col("custkey").cast("string")
+    key = (
+        F.when(kinds == 0, text)
+        .when(kinds == 1, F.concat(text, F.lit(".0")))
+        .when(kinds == 2, F.concat(text, F.lit(".7")))
+        .when(kinds == 3, F.concat(text, F.lit("99999999999")))
+        .otherwise(F.concat(F.lit("no"), text))
+    )
+    spec = StatsSpec(
+        key="custkey",
+        group_by=("o_orderpriority", "c_mktsegment"),
+        averages={"avg_height": "o_totalprice"},
+        scale=3,
+        key_type="int",
+    )
+    orders = _orders(spark, folder).withColumn("custkey", key)
+    return reference_stats(orders, _customers(spark, folder), spec)
+
+
 # Cleaning
 
 
@@ -143,6 +209,7 @@ def q_clean_all_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def q_silver_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Three columns without the key, so that there are equal rows to drop."""
     orders = _table(spark, folder, "orders")
     return deduplicate(
         clean_strings(orders.select("o_orderpriority", "o_orderstatus", "o_custkey"))
@@ -151,8 +218,11 @@ def q_silver_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def q_silver_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Without the id; the number of characters goes with the text."""
     documents = _table(spark, folder, "documents")
-    return deduplicate(clean_strings(documents.select("text", "lang", "source")))
+    return deduplicate(
+        clean_strings(documents.select("text", "lang", "source", "n_chars"))
+    )
 
 
 @_query
@@ -190,10 +260,14 @@ def q_join_using(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def q_hot_key_join(spark: SparkSession, folder: str) -> DataFrame:
-    events = _table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    hot = hot_keys(events, "user_id", share=0.006)
+    """A third of the events belong to one user. The hint keeps the merge join at every size."""
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id"))
+    events = _table(spark, folder, "events").select(
+        "event_id", user.cast("bigint").alias("user_id"), "event_type"
+    )
+    hot = hot_keys(events, "user_id")
     customers = _customers(spark, folder, "user_id").select("user_id", "c_mktsegment")
-    return join_reference(events, customers, "user_id", hot=hot, ways=4)
+    return join_reference(events, customers.hint("merge"), "user_id", hot=hot)
 
 
 @_query
@@ -210,7 +284,10 @@ def q_distinct_sorted(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def q_limit_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "customer").limit(5)
+    """Which rows a limit takes is open: how many they are, and that they are the table's, is not."""
+    customers = _table(spark, folder, "customer")
+    known = customers.limit(5).join(customers, customers.columns, "left_semi")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_custkey").alias("n_different"))
 
 
 @_query
@@ -229,30 +306,33 @@ def q_count_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def q_to_json(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _table(spark, folder, "orders")
-    return to_messages(
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    )
+    """Engines write doubles and times as different text, so the values are compared."""
+    return parse_messages(to_messages(_table(spark, folder, "orders")), ORDER)
 
 
 @_query
 def q_keyed_messages(spark: SparkSession, folder: str) -> DataFrame:
-    customers = _table(spark, folder, "customer")
-    return to_messages(
-        customers.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), key="c_custkey"
-    )
+    messages = to_messages(_table(spark, folder, "customer"), key="c_custkey")
+    return parse_messages(messages, CUSTOMER.replace("custkey", "c_custkey"), carry=["key"])
 
 
 @_query
 def q_payload_key(spark: SparkSession, folder: str) -> DataFrame:
-    events = _table(spark, folder, "events")
-    readings = events.select("event_id", F.floor("value").alias("value"))
-    return to_messages(readings, key="value")
+    messages = to_messages(_table(spark, folder, "events"), key="value")
+    parsed = parse_messages(messages, EVENT, carry=["key"])
+    return parsed.withColumn("key", F.col("key").try_cast("double"))
 
 
 @_query
 def q_uuid_key(spark: SparkSession, folder: str) -> DataFrame:
-    return to_messages(_table(spark, folder, "customer"), key=F.expr("uuid()"))
+    """Keys are random: each is a new one, and no message is lost."""
+    messages = to_messages(_table(spark, folder, "customer"), key=F.expr("uuid()"))
+    parsed = parse_messages(messages, "c_custkey BIGINT", carry=["key"])
+    return parsed.agg(
+        F.count_distinct("key").alias("n_keys"),
+        F.count_if(F.length("key") == 36).alias("n_uuids"),
+        F.count_distinct("c_custkey").alias("n_customers"),
+    )
 
 
 @_query
@@ -299,19 +379,25 @@ def q_topic_batch(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def q_csv_bronze(spark: SparkSession, folder: str) -> DataFrame:
     landing, lake = scratch_dir(spark, "landing"), scratch_dir(spark, "lake")
-    orders = _table(spark, folder, "orders").drop("o_totalprice", "o_orderdate")
+    orders = _table(spark, folder, "orders")
     orders.write.option("header", True).csv(f"{landing}/orders.csv")
     landing_to_bronze(spark, landing, lake, ["orders"])
-    return read_layer(spark, lake, "bronze", "orders")
+    bronze = read_layer(spark, lake, "bronze", "orders")
+    # All of bronze is text; engines write doubles and times differently, so their values are compared.
+    return bronze.withColumn("o_totalprice", as_double("o_totalprice")).withColumn(
+        "o_orderdate", F.col("o_orderdate").try_cast("timestamp_ntz")
+    )
 
 
 @_query
 def q_lake_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     landing, lake = scratch_dir(spark, "landing"), scratch_dir(spark, "lake")
-    tables = {
-        "customer": _customers(spark, folder).select("custkey", "c_acctbal", "c_mktsegment"),
-        "orders": _orders(spark, folder).drop("o_orderdate", "o_orderstatus"),
-    }
+    # Some rows of either side have lost their key. They belong to nobody and meet nobody.
+    known = F.when(F.col("custkey") % 50 != 7, F.col("custkey"))
+    customers = _customers(spark, folder).withColumn("custkey", known)
+    known = F.when(F.col("o_orderkey") % 50 != 7, F.col("custkey"))
+    orders = _orders(spark, folder).withColumn("custkey", known)
+    tables = {"customer": customers, "orders": orders}
     for name, rows in tables.items():
         rows.write.option("header", True).csv(f"{landing}/{name}.csv")
     spec = StatsSpec(
@@ -331,17 +417,18 @@ def q_jdbc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     customers = _table(spark, folder, "customer")
     connection, table = database(spark), fresh_table("customer")
     create_jdbc_table(spark, customers.schema, connection, table)
-    write_jdbc(customers, connection, table, max_connections=64)
-    ranges = key_range(spark, connection, table, "c_custkey", tasks=32)
+    write_jdbc(customers, connection, table, max_connections=MOST_CONNECTIONS)
+    ranges = key_range(spark, connection, table, "c_custkey", tasks=_ranges(customers))
     return read_jdbc(spark, connection, table, partition=ranges)
 
 
 @_query
 def q_publish_table(spark: SparkSession, folder: str) -> DataFrame:
     connection, table = database(spark), fresh_table("customer")
-    write_jdbc(_customers(spark, folder), connection, table, max_connections=64)
+    customers = _customers(spark, folder)
+    write_jdbc(customers, connection, table, max_connections=MOST_CONNECTIONS)
     topic = FileTopic(scratch_dir(spark, "topic"))
-    ranges = key_range(spark, connection, table, "custkey", tasks=32)
+    ranges = key_range(spark, connection, table, "custkey", tasks=_ranges(customers))
     publish_table(spark, connection, table, topic, "custkey", partition=ranges)
     messages = topic.batch(spark).withColumn("key", F.col("key").cast("string"))
     return parse_messages(messages, CUSTOMER, carry=["key"])
@@ -351,37 +438,66 @@ def q_publish_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _start_event_stats(
-    spark: SparkSession, folder: str, writers: list[Any]
+    spark: SparkSession,
+    events: DataFrame,
+    customers: DataFrame,
+    writers: Callable[[int], list[Any]],
+    trigger: Mapping[str, Any] = UNTIL_CAUGHT_UP,
 ) -> StreamingQuery:
-    """Publish all events to a topic and run the streaming averages over it in several batches."""
-    events = _table(spark, folder, "events")
-    topic = FileTopic(scratch_dir(spark, "topic"))
+    """Publish `events` to a topic and run the streaming averages over it, on a new checkpoint.
+
+    `writers` gets the number of the run. Hot users are looked for at every size.
+    """
+    topic, checkpoint = FileTopic(scratch_dir(spark, "topic")), scratch_dir(spark, "checkpoint")
     topic.publish(events, "user_id", max_per_file=max(1, events.count() // 4 + 1))
     history = topic.batch(spark)
-    customers = _customers(spark, folder, "user_id")
-    hot = (
-        ()
-        if fits_broadcast(customers.select("user_id", "c_mktsegment", "c_acctbal"))
-        else hot_keys(parse_messages(history, EVENT), "user_id")
-    )
+    hot = hot_keys(parse_messages(history, EVENT, only=["user_id"]), "user_id")
     return stream_stats(
-        topic.stream(spark, maxBytesPerTrigger=_bytes_per_batch(history, batches=4)),
+        topic.stream(spark, maxBytesPerTrigger=_batch_bytes(history)),
         customers,
-        writers,
-        scratch_dir(spark, "checkpoint"),
+        writers(run_number(spark, checkpoint)),
+        checkpoint,
         EVENT_STATS,
         EVENT,
-        UNTIL_CAUGHT_UP,
+        trigger,
         hot,
     )
 
 
+def _run_twice(
+    spark: SparkSession, folder: str, writers: Callable[[int], list[Any]]
+) -> None:
+    """A run over half of the events, then one over all of them, on a new checkpoint, into the same
+    sinks. The second run's batch ids start again; its results are the newer ones all the same."""
+    events, customers = _table(spark, folder, "events"), _customers(spark, folder, "user_id")
+    customers = snapshot(customers, scratch_dir(spark, "snapshot"))
+    for part in (events.where(F.col("event_id") % 2 == 0), events):
+        _start_event_stats(spark, part, customers, writers).awaitTermination()
+
+
 @_query
 def q_stream_medal_stats(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_dir(spark, "out")
-    _start_event_stats(spark, folder, [files_writer(out)]).awaitTermination()
+    _run_twice(spark, folder, lambda run: [files_writer(out, run)])
+    history = read_history(spark, out)
+    return latest_per_key(history, EVENT_STATS.group_by, ["run", "batch_id"]).drop("run", "batch_id")
+
+
+@_query
+def q_stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
+    """On a clock instead of until caught up, and stopped when all is consumed."""
+    out = scratch_dir(spark, "out")
+    query = _start_event_stats(
+        spark,
+        _table(spark, folder, "events"),
+        _customers(spark, folder, "user_id"),
+        lambda run: [files_writer(out, run)],
+        {"processingTime": "500 milliseconds"},
+    )
+    query.processAllAvailable()
+    query.stop()
     history = read_history(spark, out)
-    return latest_per_key(history, EVENT_STATS.group_by, "batch_id").drop("batch_id")
+    return latest_per_key(history, EVENT_STATS.group_by, ["run", "batch_id"]).drop("run", "batch_id")
 
 
 @_query
@@ -390,13 +506,20 @@ def q_stream_to_database(spark: SparkSession, folder: str) -> DataFrame:
     create_jdbc_table(
         spark,
         "event_type STRING, c_mktsegment STRING, avg_value DOUBLE, avg_acctbal DOUBLE, "
-        "batch_id BIGINT",
+        "run BIGINT, batch_id BIGINT",
         connection,
         table,
     )
-    writer = jdbc_writer(connection, table, "batch_id", max_connections=8)
-    _start_event_stats(spark, folder, [writer]).awaitTermination()
-    return read_stats(spark, connection, table, EVENT_STATS.group_by).drop("batch_id")
+
+    def writers(run: int) -> list[Any]:
+        return [jdbc_writer(connection, table, "batch_id", MOST_CONNECTIONS, "run", run)]
+
+    _run_twice(spark, folder, writers)
+    ranges = key_range(spark, connection, table, "batch_id", tasks=MOST_CONNECTIONS)
+    stats = read_stats(
+        spark, connection, table, EVENT_STATS.group_by, ["run", "batch_id"], partition=ranges
+    )
+    return stats.drop("run", "batch_id")
 
 
 @_query
@@ -404,7 +527,7 @@ def q_stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
     events = _table(spark, folder, "events")
     stream = stream_table(
         spark, folder, "events", events.schema,
-        maxBytesPerTrigger=_bytes_per_batch(events, batches=4),
+        maxBytesPerTrigger=_batch_bytes(events),
     )
     out, copy = scratch_dir(spark, "out"), FileTopic(scratch_dir(spark, "topic"))
     stream_fan_out(
@@ -414,10 +537,10 @@ def q_stream_fan_out(spark: SparkSession, folder: str) -> DataFrame:
         EVENT,
         trigger=UNTIL_CAUGHT_UP,
     ).awaitTermination()
-    columns = ["event_id", "user_id", "event_type", "value"]
-    files = read_history(spark, out).select(F.lit("files").alias("sink"), *columns)
-    messages = parse_messages(copy.batch(spark), EVENT)
-    return files.unionByName(messages.select(F.lit("topic").alias("sink"), *columns))
+    stamped = F.col("processed_at").isNotNull().alias("stamped")
+    files = read_history(spark, out).select(F.lit("files").alias("sink"), *events.columns, stamped)
+    messages = parse_messages(copy.batch(spark), f"{EVENT}, processed_at TIMESTAMP")
+    return files.unionByName(messages.select(F.lit("topic").alias("sink"), *events.columns, stamped))
 
 
 @_query

@@ -1,7 +1,4 @@
-"""The SQL each query must agree with, run by another engine on the same tables.
-
-``q_limit_rows`` (rows in no particular order) and ``q_uuid_key`` (random keys) have none.
-"""
+"""The SQL each query must agree with, run by another engine on the same tables."""
 
 from __future__ import annotations
 
@@ -48,6 +45,18 @@ SQL: dict[str, str] = {
         FROM customer JOIN orders ON c_custkey = o_custkey
         GROUP BY ALL
     """,
+    "q_stats_stamped": f"""
+        SELECT o_orderpriority, c_mktsegment, {_rounded("avg(o_totalprice)", 3)} AS avg_height,
+               TRUE AS stamped
+        FROM customer JOIN orders ON c_custkey = o_custkey
+        GROUP BY o_orderpriority, c_mktsegment
+    """,
+    "q_stats_whole_keys": f"""
+        SELECT o_orderpriority, c_mktsegment, {_rounded("avg(o_totalprice)", 3)} AS avg_height
+        FROM customer JOIN orders ON c_custkey = o_custkey
+        WHERE o_orderkey % 5 < 3
+        GROUP BY o_orderpriority, c_mktsegment
+    """,
     "q_clean_text": f"""
         SELECT p_partkey, {_cleaned("p_name")} AS p_name, {_cleaned("p_brand")} AS p_brand
         FROM part
@@ -65,7 +74,7 @@ SQL: dict[str, str] = {
     """,
     "q_silver_documents": f"""
         SELECT DISTINCT {_cleaned("text")} AS text, {_cleaned("lang")} AS lang,
-               {_cleaned("source")} AS source
+               {_cleaned("source")} AS source, n_chars
         FROM documents
     """,
     "q_numeric_rows": """
@@ -87,8 +96,9 @@ SQL: dict[str, str] = {
         FROM orders JOIN customer ON o_custkey = c_custkey
     """,
     "q_hot_key_join": """
-        SELECT user_id, event_id, event_type, c_mktsegment
-        FROM events JOIN customer ON user_id = c_custkey
+        SELECT c_custkey AS user_id, event_id, event_type, c_mktsegment
+        FROM events
+        JOIN customer ON CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END = c_custkey
     """,
     "q_latest_per_key": """
         SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value
@@ -97,27 +107,21 @@ SQL: dict[str, str] = {
     "q_distinct_sorted": """
         SELECT DISTINCT c_mktsegment, c_nationkey FROM customer ORDER BY c_nationkey, c_mktsegment
     """,
+    "q_limit_rows": """
+        SELECT least(5, count(*)) AS n, least(5, count(*)) AS n_different FROM customer
+    """,
     "q_limit_zero_schema": "SELECT * FROM customer LIMIT 0",
     "q_count_rows": "SELECT count(*) AS n FROM orders",
-    "q_to_json": """
-        SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey,
-                                'o_orderstatus', o_orderstatus,
-                                'o_orderpriority', o_orderpriority) AS VARCHAR) AS value
-        FROM orders
+    "q_to_json": "SELECT * FROM orders",
+    "q_keyed_messages": "SELECT CAST(c_custkey AS VARCHAR) AS key, * FROM customer",
+    # Messages carry times to the millisecond.
+    "q_payload_key": """
+        SELECT value AS key, * REPLACE (date_trunc('millisecond', ts) AS ts) FROM events
     """,
-    "q_keyed_messages": """
-        SELECT CAST(c_custkey AS VARCHAR) AS key,
-               CAST(json_object('c_custkey', c_custkey, 'c_name', c_name,
-                                'c_nationkey', c_nationkey,
-                                'c_mktsegment', c_mktsegment) AS VARCHAR) AS value
+    "q_uuid_key": """
+        SELECT count(*) AS n_keys, count(*) AS n_uuids, count(DISTINCT c_custkey) AS n_customers
         FROM customer
     """,
-    "q_payload_key": """
-        SELECT CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS key,
-               CAST(json_object('event_id', event_id,
-                                'value', CAST(floor(value) AS BIGINT)) AS VARCHAR) AS value
-        FROM events
-    """,
     "q_from_json": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
     """,
@@ -138,7 +142,7 @@ SQL: dict[str, str] = {
     """,
     "q_csv_bronze": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-               o_orderstatus, o_orderpriority
+               o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
         FROM orders
     """,
     # The cleaner removes minus signs, hence abs.
@@ -146,11 +150,11 @@ SQL: dict[str, str] = {
         WITH c AS (
             SELECT DISTINCT c_custkey, abs(c_acctbal) AS c_acctbal,
                    {_cleaned("c_mktsegment")} AS c_mktsegment
-            FROM customer
+            FROM customer WHERE c_custkey % 50 <> 7
         ), o AS (
             SELECT DISTINCT o_orderkey, o_custkey, o_totalprice,
                    {_cleaned("o_orderpriority")} AS o_orderpriority
-            FROM orders
+            FROM orders WHERE o_orderkey % 50 <> 7
         )
         SELECT o_orderpriority, c_mktsegment,
                {_rounded("avg(CAST(c_acctbal AS FLOAT))", 2)} AS avg_weight,
@@ -166,8 +170,9 @@ SQL: dict[str, str] = {
     """,
     "q_stream_medal_stats": _EVENT_STATS,
     "q_stream_to_database": _EVENT_STATS,
+    "q_stream_trigger": _EVENT_STATS,
     "q_stream_fan_out": """
-        SELECT sink, event_id, user_id, event_type, value
+        SELECT sink, events.* REPLACE (date_trunc('millisecond', ts) AS ts), TRUE AS stamped
         FROM events CROSS JOIN (VALUES ('files'), ('topic')) AS sinks(sink)
     """,
     # Windows that are still open at the final watermark are not emitted.

@@ -3,7 +3,9 @@
 Connections come from the environment, so that no password shows in a process list:
 ``PODIUM_JDBC_URL``, ``_DRIVER``, ``_USER``, ``_PASSWORD`` and ``PODIUM_KAFKA_BOOTSTRAP``,
 ``_PROTOCOL``, ``_MECHANISM``, ``_USER``, ``_PASSWORD``. A topic argument is the name of a Kafka topic
-or ``files:<folder>`` for message files.
+or ``files:<folder>`` for message files; a table argument is a database table or ``files:<folder>``
+for Parquet files. ``--package`` and ``--jar`` add drivers and connectors to a new session; a Kafka
+topic brings its connector along.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import argparse
 import os
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from podium.operators.stats import STREAM
 from podium.plans import (
@@ -22,18 +24,21 @@ from podium.plans import (
     landing_to_bronze,
     publish_table,
     read_stats,
+    round_trip_stats,
     run_lake,
     silver_to_gold,
+    stream_fan_out,
     stream_stats,
 )
 from podium.plans.topics import Topic
-from podium.schemas import STREAM_STATS, TABLES
-from podium.session import build_session
-from podium.sinks import create_jdbc_table, jdbc_writer
+from podium.schemas import ATHLETE_BIO, STREAM_STATS, TABLES, TELEMETRY
+from podium.session import KAFKA_CONNECTOR, build_session
+from podium.sinks import create_jdbc_table, files_writer, jdbc_writer
 from podium.sources import Jdbc, kafka_options, key_range, read_jdbc
-from podium.streaming import EVERY_10_SECONDS, UNTIL_CAUGHT_UP, snapshot
+from podium.streaming import EVERY_10_SECONDS, UNTIL_CAUGHT_UP, run_number, snapshot
 
-BATCH_ID = "batch_id"
+RUN, BATCH_ID = "run", "batch_id"
+_FILES = "files:"
 
 
 def _environment(prefix: str, *names: str) -> list[str | None]:
@@ -48,8 +53,8 @@ def _database() -> Jdbc:
 
 
 def _topic(name: str) -> Topic:
-    if name.startswith("files:"):
-        return FileTopic(name.removeprefix("files:"))
+    if name.startswith(_FILES):
+        return FileTopic(name.removeprefix(_FILES))
     bootstrap, *security = _environment(
         "KAFKA", "BOOTSTRAP", "PROTOCOL", "MECHANISM", "USER", "PASSWORD"
     )
@@ -64,32 +69,92 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     publish_table(spark, db, args.table, _topic(args.topic), args.key, partition=ranges)
 
 
-def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    db, topic = _database(), _topic(args.topic)
+def _table(spark: SparkSession, name: str, split: str | None = None, tasks: int = 64) -> DataFrame:
+    if name.startswith(_FILES):
+        return spark.read.parquet(name.removeprefix(_FILES))
+    db = _database()
+    ranges = key_range(spark, db, name, split, tasks) if split else None
+    return read_jdbc(spark, db, name, partition=ranges)
+
+
+def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    topic = _topic(args.topic)
     limits = {}
-    if args.max_messages is not None and isinstance(topic, KafkaTopic):
-        limits["max_messages"] = args.max_messages
-    reference = read_jdbc(spark, db, args.reference)
-    if args.snapshot:
-        reference = snapshot(reference, args.snapshot)
+    if isinstance(topic, KafkaTopic):
+        if args.max_bytes is not None:
+            raise SystemExit("--max-bytes is for message files; a Kafka topic takes --max-messages")
+        limits["starting"] = args.starting
+        if args.max_messages is not None:
+            limits["max_messages"] = args.max_messages
+    else:
+        if args.max_messages is not None:
+            raise SystemExit("--max-messages is for Kafka topics; message files take --max-bytes")
+        if args.starting != "earliest":
+            raise SystemExit("--starting is for Kafka topics; message files are read from the first")
+        if args.max_bytes is not None:
+            limits["maxBytesPerTrigger"] = args.max_bytes
+    return topic.stream(spark, **limits)
+
+
+def _trigger(args: argparse.Namespace) -> dict:
+    return UNTIL_CAUGHT_UP if args.catch_up else EVERY_10_SECONDS
+
+
+def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    db = _database()
+    reference = _table(spark, args.reference, args.split, args.tasks)
+    if not args.live:
+        # Read once, in ranges; files have a known size, so a small table can be broadcast.
+        reference = snapshot(reference, args.snapshot or f"{args.checkpoint.rstrip('/')}-reference")
+    run = run_number(spark, args.checkpoint)
     stream_stats(
-        topic.stream(spark, **limits),
+        _messages(spark, args),
         reference,
-        [_topic(args.to_topic).writer(), jdbc_writer(db, args.to_table, BATCH_ID)],
+        [
+            _topic(args.to_topic).writer(),
+            jdbc_writer(db, args.to_table, BATCH_ID, args.max_connections, RUN, run),
+        ],
         args.checkpoint,
-        trigger=UNTIL_CAUGHT_UP if args.catch_up else EVERY_10_SECONDS,
+        trigger=_trigger(args),
+        hot=args.hot or (),
+        state_partitions=args.state_partitions,
     ).awaitTermination()
 
 
+def _fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
+    writers = [_topic(name).writer() for name in args.to_topic or ()]
+    if args.to_files:
+        writers.append(files_writer(args.to_files, run_number(spark, args.checkpoint)))
+    if not writers:
+        raise SystemExit("fan-out needs --to-topic or --to-files")
+    stream_fan_out(
+        _messages(spark, args), writers, args.checkpoint, args.schema, trigger=_trigger(args)
+    ).awaitTermination()
+
+
+def _round_trip(spark: SparkSession, args: argparse.Namespace) -> None:
+    stats = round_trip_stats(
+        spark,
+        _table(spark, args.reference, args.split, args.tasks),
+        _table(spark, args.facts),
+        _topic(args.topic),
+        args.schema,
+        STREAM,
+    )
+    stats.write.mode("overwrite").parquet(args.to_files)
+
+
 def _read(spark: SparkSession, args: argparse.Namespace) -> None:
     keys = STREAM.group_by if args.latest else None
-    rows = read_stats(spark, _database(), args.table, keys, BATCH_ID)
+    rows = read_stats(spark, _database(), args.table, keys, [RUN, BATCH_ID])
     rows.printSchema()
     rows.show(args.rows, truncate=False)
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="podium", description=__doc__)
+    parser.add_argument("--package", action="append", default=[], help="coordinates Spark fetches")
+    parser.add_argument("--jar", action="append", default=[], help="a driver or connector file")
     steps = parser.add_subparsers(dest="step", required=True)
 
     def step(
@@ -127,7 +192,7 @@ def _parser() -> argparse.ArgumentParser:
     command = step(
         "create-table",
         lambda spark, a: create_jdbc_table(
-            spark, f"{STREAM_STATS}, {BATCH_ID} BIGINT", _database(), a.table
+            spark, f"{STREAM_STATS}, {RUN} BIGINT, {BATCH_ID} BIGINT", _database(), a.table
         ),
         "drop and create the table the stream writes to",
     )
@@ -138,15 +203,41 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--key", help="column used as the message key")
     command.add_argument("--split", help="numeric or date column to read the table in ranges of")
     command.add_argument("--tasks", type=int, default=64, help="number of ranges")
+
+    def reads_stream(command: argparse.ArgumentParser) -> None:
+        command.add_argument("--topic", required=True)
+        command.add_argument("--checkpoint", required=True)
+        command.add_argument("--starting", default="earliest", help="earliest or latest, Kafka only")
+        command.add_argument("--max-messages", type=int, help="per micro-batch, Kafka only")
+        command.add_argument("--max-bytes", type=int, help="per micro-batch, message files only")
+        command.add_argument("--catch-up", action="store_true", help="stop when caught up")
+
+    def reads_reference(command: argparse.ArgumentParser) -> None:
+        command.add_argument("--reference", required=True, help="table with the athletes")
+        command.add_argument("--split", help="column of that table to read it in ranges of")
+        command.add_argument("--tasks", type=int, default=64, help="number of ranges")
+
     command = step("stream", _stream, "running averages from a topic to a topic and a table")
-    command.add_argument("--topic", required=True)
-    command.add_argument("--reference", required=True, help="database table with the athletes")
-    command.add_argument("--snapshot", help="folder to copy that table to, and read it from")
+    reads_stream(command)
+    reads_reference(command)
+    command.add_argument("--snapshot", help="folder to copy the reference table to")
+    command.add_argument("--live", action="store_true", help="read that table in every micro-batch")
+    command.add_argument("--hot", type=int, action="append", help="a key with very many messages")
+    command.add_argument("--state-partitions", type=int, help="counts at the first start")
     command.add_argument("--to-topic", required=True)
     command.add_argument("--to-table", required=True)
-    command.add_argument("--checkpoint", required=True)
-    command.add_argument("--max-messages", type=int, help="per micro-batch, Kafka only")
-    command.add_argument("--catch-up", action="store_true", help="stop when caught up")
+    command.add_argument("--max-connections", type=int, default=64, help="to the target table")
+    command = step("fan-out", _fan_out, "each message, stamped, to several sinks")
+    reads_stream(command)
+    command.add_argument("--schema", default=TELEMETRY, help="fields of a message")
+    command.add_argument("--to-topic", action="append")
+    command.add_argument("--to-files", help="folder for Parquet files")
+    command = step("round-trip", _round_trip, "averages with the reference table sent by topic")
+    reads_reference(command)
+    command.add_argument("--facts", required=True, help="table with the results")
+    command.add_argument("--topic", required=True)
+    command.add_argument("--schema", default=ATHLETE_BIO, help="fields of a reference message")
+    command.add_argument("--to-files", required=True, help="folder for the averages")
     command = step("read-stats", _read, "print the averages in the table")
     command.add_argument("--table", required=True)
     command.add_argument("--latest", action="store_true", help="only the newest of each group")
@@ -157,4 +248,12 @@ def _parser() -> argparse.ArgumentParser:
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     """Run one step; `spark` is for callers that have a session already."""
     args = _parser().parse_args(arguments)
-    args.run(spark or build_session(f"podium {args.step}"), args)
+    if spark is None:
+        topics = [getattr(args, "topic", None), *_listed(getattr(args, "to_topic", None))]
+        kafka = [KAFKA_CONNECTOR] * any(t and not t.startswith(_FILES) for t in topics)
+        spark = build_session(f"podium {args.step}", [*kafka, *args.package], args.jar)
+    args.run(spark, args)
+
+
+def _listed(value: str | list[str] | None) -> list[str]:
+    return value if isinstance(value, list) else [value] if value else []

@@ -13,8 +13,22 @@ from pyspark.sql import functions as F
 from podium.functions.names import column
 
 
+def as_whole(value: str | Column, to: str = "int") -> Column:
+    """`value` as a whole number; fraction digits are cut off, as a plain cast of text does it.
+
+    ``12``, ``12.0`` and ``12.7`` give 12. Exponents, other text and numbers outside the type give
+    null.
+    """
+    number = column(value)
+    text = F.trim(number.cast("string"))
+    digits = F.regexp_extract(text, r"^([+-]?[0-9]*)\.", 1)
+    digits = F.when(digits.rlike("[0-9]"), digits).otherwise(F.lit("0"))
+    cut = F.when(text.rlike(r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+)$"), digits.try_cast(to))
+    return F.coalesce(number.try_cast(to), cut)
+
+
 def as_int(value: str | Column) -> Column:
-    return column(value).try_cast("int")
+    return as_whole(value, "int")
 
 
 def as_double(value: str | Column) -> Column:

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.functions.names import column
+from podium.functions.names import column, folded
 
 _SALT = "__salt"
 
@@ -23,8 +23,9 @@ def join_reference(
 ) -> DataFrame:
     """Inner equi-join on `key`, which appears once and first, followed by the left side's columns.
 
-    Columns both sides have (other than the key) are taken from the facts. Null keys and facts
-    without a reference row drop out.
+    Columns both sides have (other than the key) are taken from the facts; names are compared as the
+    session compares them, by default without case. Null keys and facts without a reference row
+    drop out.
 
     No side is broadcast by hand: Spark broadcasts one when its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges. In a batch job,
@@ -37,7 +38,9 @@ def join_reference(
     from a seeded generator in scan order, so that a task that is run again after a lost executor
     draws the same salts.
     """
-    shared = [name for name in reference.columns if name in facts.columns and name != key]
+    spark = facts.sparkSession
+    taken = folded(spark, facts.columns) - folded(spark, [key])
+    shared = [name for name in reference.columns if folded(spark, [name]) <= taken]
     reference = reference.drop(*shared)
     on = [key]
     if hot:
@@ -58,13 +61,19 @@ def join_reference(
 def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> list[Any]:
     """Keys that hold more than `share` of the rows of the batch frame `df`.
 
-    Rows are counted per key map-side first, so a hot key costs one row per task in the shuffle.
-    The list has at most ``1 / share`` entries, whatever the size of the data.
+    One pass keeps a sketch of frequent keys, whose size depends on `share` alone and which misses
+    no key of that share; a second one counts the keys it names, and no others. The list has at
+    most ``1 / share`` entries, whatever the size of the data.
     """
-    counts = df.filter(column(key).isNotNull()).groupBy(column(key).alias("key")).count()
-    heaviest = counts.orderBy(F.desc("count")).limit(int(1 / share))
-    least = df.count() * share
-    return [row["key"] for row in heaviest.collect() if row["count"] > least]
+    named = int(2 / share)
+    sketch = F.call_function("approx_top_k", column(key), F.lit(named), F.lit(20 * named))
+    rows, top = df.agg(F.count(F.lit(1)), sketch).first()
+    candidates = [row["item"] for row in top or () if row["item"] is not None]
+    if not candidates:
+        return []
+    counts = df.filter(column(key).isin(candidates)).groupBy(column(key).alias("key")).count()
+    found = sorted(counts.collect(), key=lambda row: -row["count"])
+    return [row["key"] for row in found if row["count"] > rows * share]
 
 
 def plan_bytes(df: DataFrame) -> int:

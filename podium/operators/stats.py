@@ -8,8 +8,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from podium.functions.names import column
+from podium.functions.names import column, folded
+from podium.functions.numbers import as_whole
+from podium.functions.text import NULL_TOKEN
 from podium.operators.cleaning import numeric_rows
 from podium.operators.joins import join_reference
 
@@ -22,11 +25,13 @@ class StatsSpec:
     None for unrounded. `stamp` names the column with the processing time, None for none.
     `measure_type` is the type measures are converted to before averaging; the average itself is
     always a double, so ``float`` measures show float rounding in it. `key_type`, where set, is
-    the type both keys are converted to.
+    the whole-number type both keys are converted to. `null_key` is the text that stands for a
+    missing key, as the cleaner writes it: rows with it are nobody's and are not joined. None joins
+    them like any other key.
     """
 
     key: str
-    group_by: Sequence[str | Column]
+    group_by: Sequence[str]
     averages: Mapping[str, str] = field(default_factory=dict)
     measure_type: str = "double"
     scale: int | None = None
@@ -34,11 +39,15 @@ class StatsSpec:
     key_type: str | None = None
     reference_first: bool = False
     drop_nan: bool = False
+    null_key: str | None = NULL_TOKEN
+
+    def __post_init__(self) -> None:
+        if not all(isinstance(name, str) for name in self.group_by):
+            raise TypeError("group_by takes column names; add a computed column to the facts first")
 
     def columns(self) -> list[str]:
-        """Names of the input columns: key, groups given by name, and measures."""
-        named = [key for key in self.group_by if isinstance(key, str)]
-        return list(dict.fromkeys([self.key, *named, *self.averages.values()]))
+        """Names of the input columns: key, groups and measures."""
+        return list(dict.fromkeys([self.key, *self.group_by, *self.averages.values()]))
 
 
 # Grouping, rounding, measure type and column order of the two published results.
@@ -102,16 +111,22 @@ def measured_facts(
     Only the columns the statistics need go into the join. A measure is converted on the side it
     comes from, before the join, so rows that cannot count are dropped before any shuffle.
     """
-    wanted = spec.columns()
-    shared = set(facts.columns) - {spec.key}
+    spark = facts.sparkSession
+    wanted = folded(spark, spec.columns()) - (
+        folded(spark, facts.columns) - folded(spark, [spec.key])
+    )
     reference = reference.select(
-        *[column(c) for c in reference.columns if c in wanted and c not in shared]
+        *[column(c) for c in reference.columns if folded(spark, [c]) <= wanted]
     )
     sides = []
     for side in (facts, reference):
-        if spec.key_type is not None:
-            side = side.withColumn(spec.key, column(spec.key).try_cast(spec.key_type))
-        measures = [m for m in dict.fromkeys(spec.averages.values()) if m in side.columns]
+        kind = side.select(column(spec.key)).schema[0].dataType
+        if spec.null_key is not None and isinstance(kind, StringType):
+            side = side.filter(column(spec.key) != spec.null_key)
+        if spec.key_type not in (None, kind.simpleString()):
+            side = side.withColumn(spec.key, as_whole(spec.key, spec.key_type))
+        names = folded(spark, side.columns)
+        measures = [m for m in dict.fromkeys(spec.averages.values()) if folded(spark, [m]) <= names]
         sides.append(numeric_rows(side, measures, spec.measure_type, spec.drop_nan))
     return join_reference(*sides, key=spec.key, reference_first=spec.reference_first, hot=hot)
 

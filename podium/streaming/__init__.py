@@ -1,14 +1,23 @@
 """What only exists on a stream."""
 
-from podium.streaming.start import EVERY_10_SECONDS, UNTIL_CAUGHT_UP, start_console, start_fan_out
+from podium.streaming.start import (
+    BYTES_PER_TASK,
+    EVERY_10_SECONDS,
+    UNTIL_CAUGHT_UP,
+    run_number,
+    start_console,
+    start_fan_out,
+)
 from podium.streaming.tables import bucketed_snapshot, read_history, snapshot, stream_table
 from podium.streaming.windows import windowed_averages
 
 __all__ = [
+    "BYTES_PER_TASK",
     "EVERY_10_SECONDS",
     "UNTIL_CAUGHT_UP",
     "bucketed_snapshot",
     "read_history",
+    "run_number",
     "snapshot",
     "start_console",
     "start_fan_out",

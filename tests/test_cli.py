@@ -4,10 +4,13 @@ import uuid
 
 import pytest
 
+from podium import cli
 from podium.cli import main
+from podium.plans import FileTopic
+from podium.session import KAFKA_CONNECTOR
 from podium.sinks import write_jdbc
 from podium.sources import Jdbc, read_jdbc
-from tests.athletes import STATS, as_stats, bio, results
+from tests.athletes import BIO_TEXT, STATS, as_stats, bio, results
 
 
 def test_lake_steps(spark, tmp_path):
@@ -20,7 +23,7 @@ def test_lake_steps(spark, tmp_path):
     apart = spark.read.parquet(f"{lake}/gold/avg_stats").drop("timestamp").collect()
     main(["lake", "--landing", landing, "--lake", f"{lake}2"], spark)
     at_once = spark.read.parquet(f"{lake}2/gold/avg_stats").drop("timestamp").collect()
-    assert sorted(apart) == sorted(at_once) and len(apart) == 7
+    assert sorted(apart) == sorted(at_once) and len(apart) == 6
 
 
 def test_stream_steps(spark, tmp_path, monkeypatch, capsys):
@@ -52,6 +55,56 @@ def test_stream_steps(spark, tmp_path, monkeypatch, capsys):
     assert "avg_height: double" in shown and "only showing top 3 rows" in shown
 
 
+def test_fan_out_and_round_trip(spark, tmp_path):
+    source = FileTopic(f"{tmp_path}/in")
+    source.publish(spark.createDataFrame([("a", 1.5), ("b", None)], "device STRING, t DOUBLE"))
+    main(
+        ["fan-out", "--topic", f"files:{tmp_path}/in", "--to-topic", f"files:{tmp_path}/copy",
+         "--to-files", f"{tmp_path}/files", "--schema", "device STRING, t DOUBLE",
+         "--checkpoint", f"{tmp_path}/c", "--max-bytes", "1000000", "--catch-up"],
+        spark,
+    )
+    rows = spark.read.parquet(f"{tmp_path}/files")
+    assert {"run", "batch_id", "processed_at"} < set(rows.columns)
+    assert sorted(r["device"] for r in rows.collect()) == ["a", "b"]
+    assert spark.read.parquet(f"{tmp_path}/copy").count() == 2
+    bio(spark).write.parquet(f"{tmp_path}/bio")
+    results(spark).write.parquet(f"{tmp_path}/results")
+    main(
+        ["round-trip", "--reference", f"files:{tmp_path}/bio", "--facts", f"files:{tmp_path}/results",
+         "--topic", f"files:{tmp_path}/t", "--to-files", f"{tmp_path}/out",
+         "--schema", BIO_TEXT],
+        spark,
+    )
+    assert as_stats(spark.read.parquet(f"{tmp_path}/out")) == STATS
+
+
+def test_limits_of_the_other_kind_of_topic_are_refused(spark, tmp_path, monkeypatch):
+    common = ["--topic", f"files:{tmp_path}/in", "--to-topic", "files:x", "--checkpoint", f"{tmp_path}/c"]
+    for extra in (["--max-messages", "5"], ["--starting", "latest"]):
+        with pytest.raises(SystemExit, match="Kafka"):
+            main(["fan-out", *common, *extra], spark)
+    with pytest.raises(SystemExit, match="needs --to-topic"):
+        main(["fan-out", "--topic", "files:x", "--checkpoint", f"{tmp_path}/c"], spark)
+    monkeypatch.setenv("PODIUM_KAFKA_BOOTSTRAP", "nowhere:9092")
+    with pytest.raises(SystemExit, match="message files"):
+        main(["fan-out", "--topic", "t", *common[2:], "--max-bytes", "5"], spark)
+
+
+def test_a_kafka_topic_brings_its_connector(monkeypatch):
+    asked = {}
+
+    def session(name, packages, jars):
+        asked.update(packages=packages, jars=jars)
+        raise SystemExit("no session")
+
+    monkeypatch.setattr(cli, "build_session", session)
+    for topic, packages in (("t", [KAFKA_CONNECTOR, "a:b:1"]), ("files:t", ["a:b:1"])):
+        with pytest.raises(SystemExit, match="no session"):
+            main(["--package", "a:b:1", "--jar", "x.jar", "fan-out", "--topic", topic, "--checkpoint", "c"])
+        assert asked == {"packages": packages, "jars": ["x.jar"]}
+
+
 def test_missing_connections_are_named(spark, monkeypatch):
     monkeypatch.delenv("PODIUM_JDBC_URL", raising=False)
     monkeypatch.delenv("PODIUM_KAFKA_BOOTSTRAP", raising=False)

@@ -84,3 +84,12 @@ def test_nan_is_a_number_unless_dropped(spark):
 )
 def test_parse_born(spark, text, born):
     assert one_column(spark, [text], parse_born("v")) == [born]
+
+
+def test_whole_numbers_out_of_text(spark):
+    given = ["12", " 12 ", "12.0", "12.7", "-3.9", "+4.", ".5", "-.5", "1e3", "99999999999", "99999999999.5", "x", "", ".", "-", None, "1.2.3"]
+    wanted = [12, 12, 12, 12, -3, 4, 0, 0, None, None, None, None, None, None, None, None, None]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i INT, x STRING")
+    got = [r[0] for r in frame.orderBy("i").select(as_int("x")).collect()]
+    assert got == wanted
+    assert spark.range(1).select(as_int(F.lit(12.7)), as_int(F.lit(3))).first() == (12, 3)

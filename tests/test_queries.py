@@ -40,13 +40,9 @@ def test_query_equals_sql(spark, duck, name):
     assert got == expected
 
 
-def test_queries_without_sql_are_the_undetermined_ones(spark):
+def test_every_query_of_the_jobs_has_sql():
     without = set(entry_points.queries()) - set(entry_points.oracle_sql())
-    assert without == {"q_limit_rows", "q_uuid_key"}
-    customers = spark.read.parquet(f"{FOLDER}/customer.parquet")
-    assert entry_points.queries()["q_limit_rows"](spark, FOLDER).count() == 5
-    keyed = entry_points.queries()["q_uuid_key"](spark, FOLDER)
-    assert keyed.select("key").distinct().count() == customers.count()
+    assert not {name for name in without if name.startswith("q_")}
 
 
 def test_entry(spark):

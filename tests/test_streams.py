@@ -27,6 +27,7 @@ from podium.streaming import (
     UNTIL_CAUGHT_UP,
     bucketed_snapshot,
     read_history,
+    run_number,
     snapshot,
     start_console,
     start_fan_out,
@@ -228,10 +229,11 @@ def test_fan_out_skips_empty_batches_and_frees_after_errors(spark):
 def test_fan_out_writes_few_rows_with_few_tasks(spark):
     tasks = []
     sink = lambda b, i: tasks.append((b.rdd.getNumPartitions(), b.count()))
-    fan_out(sink)(spark.range(0, 100, 1, 8), 0)
-    fan_out(sink, rows_per_task=30)(spark.range(0, 100, 1, 8), 1)
-    fan_out(sink, rows_per_task=1)(spark.range(0, 100, 1, 8), 2)
-    assert tasks == [(1, 100), (4, 100), (8, 100)]
+    fan_out(sink, bytes_per_task=2**20)(spark.range(0, 100, 1, 8), 0)
+    fan_out(sink, bytes_per_task=1)(spark.range(0, 100, 1, 8), 1)
+    # A stateless batch is written as it comes.
+    fan_out(sink)(spark.range(0, 200_000, 1, 16), 2)
+    assert tasks == [(1, 100), (8, 100), (16, 200_000)]
 
 
 def test_telemetry_goes_to_two_sinks(spark, tmp_path):
@@ -392,3 +394,39 @@ def test_a_sink_that_looks_at_a_few_rows_does_not_lose_state(spark, tmp_path):
         send(spark, topic, rows)
     run(start(spark, tmp_path, [lambda batch, batch_id: seen.append(len(batch.take(1)))]))
     assert seen == [1, 1, 1]
+
+
+def test_a_new_checkpoint_into_the_same_files(spark, tmp_path):
+    topic, out = FileTopic(str(tmp_path / "topic")), str(tmp_path / "out")
+
+    def go(name):
+        checkpoint = str(tmp_path / name)
+        writers = [files_writer(out, run_number(spark, checkpoint))]
+        run(
+            stream_stats(
+                topic.stream(spark, maxFilesPerTrigger=1), bio(spark), writers, checkpoint,
+                trigger=UNTIL_CAUGHT_UP,
+            )
+        )
+
+    send(spark, topic, [(*RESULTS[0][:2], "NZL", *RESULTS[0][3:7], 8, *RESULTS[0][8:])])
+    send(spark, topic, RESULTS[:5])
+    go("first")
+    send(spark, topic, RESULTS[5:])
+    go("second")
+    numbers = [run_number(spark, str(tmp_path / name)) for name in ("first", "second")]
+    assert numbers[0] < numbers[1]
+    history = read_history(spark, out)
+    assert {r["run"] for r in history.select("run").distinct().collect()} == set(numbers)
+    latest = latest_per_key(history, KEYS, ["run", "batch_id"])
+    whole = parse_messages(topic.batch(spark), ATHLETE_EVENT_RESULTS)
+    assert as_stats(latest) == as_stats(reference_stats(whole, bio(spark), STREAM))
+
+
+def test_state_partitions_are_the_querys_own(spark, tmp_path):
+    topic, out = FileTopic(str(tmp_path / "topic")), str(tmp_path / "out")
+    send(spark, topic, RESULTS)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = run(start(spark, tmp_path, [files_writer(out)], state_partitions=3))
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
