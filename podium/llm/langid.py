@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,7 +15,6 @@ SMOOTHING = 0.5
 UNDETERMINED = "und"
 # Code points that one step hashes; longer texts take several steps that overlap by an n-gram.
 _STEP = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
 # Odd multipliers of the rolling hash; any will do, but they have to stay the same.
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
@@ -116,7 +114,7 @@ def learn(docs: DataFrame, *, lang: str = "lang", text: str = "text") -> tuple[l
 
 def predict(texts: list[str | None], names: list[str], matrix: np.ndarray) -> tuple[list[str], list[float]]:
     """The likeliest language of each text and its posterior probability."""
-    known = [text if text is not None and names and _LETTER.search(text) else "" for text in texts]
+    known = [text if text is not None and names and any(map(str.isalpha, text)) else "" for text in texts]
     total = np.tile(matrix[:, -1], (len(texts), 1))
     for buckets, of in _pieces(known):
         for k in range(len(names)):
