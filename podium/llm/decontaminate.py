@@ -15,8 +15,8 @@ SIMILARITY = 0.8
 # Bits by which a window's and an item's fingerprints differ at most.
 RADIUS = 16
 BITS = 64
-# Most keys that are sent to all executors, a few dozen bytes each; above it they are joined by a
-# shuffle. The results do not depend on it.
+# Most keys (a shingle with its few sizes, or a document's two numbers) that are sent to all
+# executors; above it they are joined by a shuffle. The results do not depend on it.
 MOST_BROADCAST = 1_000_000
 
 
@@ -129,8 +129,10 @@ def contaminated(
         .agg(F.collect_set("start").alias("starts")),
         "opened",
     )
-    # Only texts with a start are read again for their windows.
-    texts = own.withColumn("text_hash", F.xxhash64("text")).join(_hint(opened, most_broadcast // 10), ["doc_id", "text_hash"])
+    # Only texts with a start are read again for their windows: two numbers a text find them.
+    key = ["doc_id", "text_hash"]
+    texts = own.withColumn("text_hash", F.xxhash64("text"))
+    texts = texts.join(_hint(opened.select(*key), most_broadcast), key, "left_semi").join(opened, key)
 
     def cut(own_shingles: Column) -> Column:
         def at_start(s: Column) -> Column:
