@@ -98,7 +98,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
+# Words and five-word shingles as the decontamination operator makes them.
+_WORDS = (
+    "string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{M}\\p{N}]+', ' ', 'g')), ' ')"
+)
+_SHINGLES = (
+    "unnest(list_transform(range(len(words) - 4), lambda i: array_to_string(words[i + 1:i + 5], ' ')))"
+)
+
 SQL = {
+    "op5_substring_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, unnest(range(len(words) - 19)) AS pos,
+                   unnest(list_transform(range(len(words) - 19),
+                                         lambda i: array_to_string(words[i + 1:i + 20], ' '))) AS key
+            FROM texts WHERE len(words) >= 20
+        ), repeated AS (
+            SELECT doc_id, pos FROM windows
+            QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, pos) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS place FROM repeated
+        ), placed AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM texts
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+            FROM placed ANTI JOIN gone USING (doc_id, place)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (doc_id)
+    """,
     "op7_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
@@ -108,4 +141,32 @@ SQL = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op10_decontamination": f"""
+        WITH item_words AS (SELECT item_id AS id, {_WORDS} AS words FROM benchmark),
+        doc_words AS (SELECT doc_id AS id, {_WORDS} AS words FROM documents),
+        items AS (SELECT id AS item_id, {_SHINGLES} AS shingle FROM item_words WHERE len(words) >= 5),
+        sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+        wanted AS (SELECT item_id, n, shingle, count(*) AS times
+                   FROM items JOIN sizes USING (item_id) GROUP BY ALL),
+        docs AS (SELECT id AS doc_id, {_SHINGLES} AS shingle, unnest(range(len(words) - 4)) AS place
+                 FROM doc_words WHERE len(words) >= 5),
+        starts AS (SELECT DISTINCT doc_id, place, item_id, n FROM docs JOIN wanted USING (shingle)),
+        counted AS (
+            SELECT s.doc_id, s.item_id, s.place, s.n, d.shingle, count(*) AS times
+            FROM starts s JOIN docs d
+              ON d.doc_id = s.doc_id AND d.place BETWEEN s.place AND s.place + s.n - 1
+            GROUP BY ALL
+        ), compared AS (
+            SELECT c.doc_id, c.item_id, c.place, c.n, sum(c.times) AS size,
+                   coalesce(sum(least(c.times, w.times)), 0) AS shared
+            FROM counted c LEFT JOIN wanted w ON w.item_id = c.item_id AND w.shingle = c.shingle
+            GROUP BY ALL
+        )
+        SELECT doc_id, item_id, shared / (size + n - shared) AS similarity, place AS first_word,
+               CAST(size + 4 AS BIGINT) AS n_words
+        FROM compared
+        WHERE shared / (size + n - shared) >= 0.8
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
+                                   ORDER BY shared / (size + n - shared) DESC, place) = 1
+    """,
 }
