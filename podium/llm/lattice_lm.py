@@ -97,11 +97,16 @@ class Lattice:
                         if node is None:
                             break
                         if piece[node] >= 0:
-                            arcs.append((n, start, k + 1, piece[node]))
+                            arcs += (n, start, k + 1, piece[node])
                 own.append(order[at])
                 at += 1
             sizes = np.array([len(words[k]) + 1 for k in own])
-            yield np.array(own), sizes, np.array(arcs, dtype=np.int64).T
+            yield np.array(own), sizes, np.array(arcs, dtype=np.int64).reshape(-1, 4).T
+
+
+def _by(places: np.ndarray) -> np.ndarray:
+    """Stable order of arcs by a place in their words. Short words' places sort without comparing."""
+    return np.argsort(places.astype(np.int16) if places.max(initial=0) < 1 << 15 else places, kind="stable")
 
 
 def forward(sizes: np.ndarray, arcs: np.ndarray, scores: np.ndarray) -> np.ndarray:
@@ -109,7 +114,7 @@ def forward(sizes: np.ndarray, arcs: np.ndarray, scores: np.ndarray) -> np.ndarr
     `scores` (pieces x models)."""
     total = np.full((len(sizes), int(sizes.max()) + 1, scores.shape[1]), -np.inf)
     total[:, 0] = 0
-    word, start, end, piece = arcs[:, np.lexsort((arcs[0], arcs[2]))]
+    word, start, end, piece = arcs[:, _by(arcs[2])]  # arcs come by word
     cuts = np.searchsorted(end, np.arange(1, total.shape[1] + 1))
     for j in range(1, total.shape[1]):
         a, b = cuts[j - 1], cuts[j]
@@ -128,7 +133,7 @@ def expected(sizes: np.ndarray, arcs: np.ndarray, scores: np.ndarray) -> np.ndar
     total = forward(sizes, arcs, scores[:, None])[:, :, 0]
     cut = np.zeros_like(total)  # the share of segmentations that part a word there
     cut[np.arange(len(sizes)), sizes] = 1
-    word, start, end, piece = arcs[:, np.lexsort((arcs[0], arcs[1]))]
+    word, start, end, piece = arcs[:, _by(arcs[1])]
     cuts = np.searchsorted(start, np.arange(total.shape[1] + 1))
     shares = np.zeros(len(word))
     for i in range(total.shape[1] - 1, -1, -1):
