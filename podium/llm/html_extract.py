@@ -24,6 +24,7 @@ _DROPPED = set(
 )
 _EMPTY = set("area base br col embed hr img input link meta param source track wbr".split())
 _ARTICLE = {"article", "main"}
+_CELLS = {"td", "th"}
 # Elements that may hold the whole article.
 _CONTAINERS = {"html", "body", "article", "main", "div", "section", "td", "center", "table", "tbody", "tr"}
 # A start tag that ends the open element of the same kind, and how far up it is looked for.
@@ -38,11 +39,11 @@ _SIBLINGS = {
 }
 # Words in class, id and role that mark what is around an article.
 _MARKS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adbox|adslot|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|"
-    r"notification|alert|disclaimer|popup|modal|overlay|dialog|sidebar|side|complementary|related|recommend\w*|"
+    r"(?:^|[^a-z])(?:ads?|advert\w*|adbox|adslot|adsense|adsbygoogle|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|"
+    r"notification|alert|disclaimer|popup|modal|overlay|dialog|[a-z]*sidebar|side|complementary|related|recommend\w*|"
     r"trending|popular|teasers?|widget|share|sharing|social|newsletter|subscribe|subscription|signup|signin|login|"
-    r"comments?|commentary|respond|replies|discussion|disqus|menu|nav|navbar|navigation|breadcrumbs?|pagination|"
-    r"pager|footer|contentinfo|copyright|masthead|topbar|toolbar|searchform|searchbox|search|hidden|sr-only|"
+    r"comments?|commentary|respond|replies|discussion|disqus|[a-z]*menu|menubar|"
+    r"[a-z]*nav|nav(?:bar|igation|links?|list|menu)|breadcrumbs?|pagination|pager|[a-z]*footer|contentinfo|copyright|masthead|topbar|toolbar|searchform|searchbox|search|hidden|sr-only|"
     r"skip-link)(?![a-z])"
 )
 _HEADERS = re.compile(r"(?:^|[^a-z])header(?![a-z])")
@@ -50,6 +51,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SIGMA = 1.0
 # Part of the content's characters that a container has to hold to be narrowed down to.
 _SHARE = 0.8
+_LINES = 3
 
 
 class _Lines(HTMLParser):
@@ -73,7 +75,8 @@ class _Lines(HTMLParser):
         self.text, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
-        if any(name in _BLOCKS for _, name, *_ in self.open[depth:]):
+        # A table's cells are one line, but for one that is out.
+        if any(name in _BLOCKS or name in _CELLS and marked for _, name, _, marked, _ in self.open[depth:]):
             self.flush()
         for _, name, *_ in self.open[depth:]:
             self.links -= name == "a"
@@ -83,7 +86,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.text.append("\n")
-        elif tag in ("td", "th"):
+        elif tag in _CELLS:
             self.text.append(" ")
         if tag in _EMPTY:
             if tag in _BLOCKS:
@@ -109,6 +112,7 @@ class _Lines(HTMLParser):
                     self.close_to(depth)
                     break
         _, _, dropped, marked, inside = self.open[-1]
+        outside = not marked
         here = dict(attrs)
         words = _CAMEL.sub("-", " ".join(here.get(key) or "" for key in ("class", "id", "role"))).lower()
         if tag in _ARTICLE and not inside:
@@ -117,6 +121,11 @@ class _Lines(HTMLParser):
             marked = marked or bool(_MARKS.search(words)) or (not inside and bool(_HEADERS.search(words)))
         gone = "hidden" in here or here.get("aria-hidden") == "true" or "display:none" in (here.get("style") or "").replace(" ", "")
         dropped = dropped or tag in _DROPPED or gone or (tag == "header" and not inside)
+        if marked and outside and tag not in _BLOCKS:
+            if tag in _CELLS:
+                self.flush()
+            else:
+                dropped = True  # inside a line: the line goes on without it
         self.links += tag == "a"
         self.parents.append(self.open[-1][0])
         self.names.append(tag)
@@ -135,7 +144,7 @@ class _Lines(HTMLParser):
             self.flush()
 
     def handle_data(self, data: str) -> None:
-        if self.open[-1][1] in ("script", "style"):
+        if self.open[-1][2]:
             return
         self.text.append(data)
         if self.links:
@@ -181,17 +190,21 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     limit = _threshold(ratio)
     content = ratio >= limit
     # The region: the innermost container that still holds most of the content's characters.
-    held = np.zeros(len(parser.names))
-    for k in np.flatnonzero(content):
-        held[lines[k][3]] += chars[k]
+    # One that is not named an article has to have several lines: a long paragraph is not a region.
+    held, count = np.zeros(len(parser.names)), np.zeros(len(parser.names))
+    for k in range(len(lines)):
+        held[lines[k][3]] += chars[k] * content[k]
+        count[lines[k][3]] += 1
     parents = parser.parents
     for e in range(len(held) - 1, 0, -1):
         held[parents[e]] += held[e]
+        count[parents[e]] += count[e]
     region = 0
     for e in range(1, len(held)):
         # More than half of the content is inside, so these are nested; inner ones come later.
         if held[e] > 0 and held[e] >= _SHARE * held[0] and parser.names[e] in _CONTAINERS:
-            region = e
+            if parser.names[e] in _ARTICLE or count[e] >= _LINES:
+                region = e
     inside = np.zeros(len(held), dtype=bool)
     inside[region] = True
     for e in range(region + 1, len(held)):

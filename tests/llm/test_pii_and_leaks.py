@@ -178,6 +178,12 @@ def test_main_text(around):
 def test_main_text_of_broken_and_empty_pages():
     assert main_text(None) == main_text("") == main_text("<html><nav><a href=x>y</a></nav>") == ""
     assert main_text("just text &lt;b&gt; &am") == "just text <b> &am"
+    layout = "<table><tr><td class=sidemenu><a href=1>One</a> of many</td><td><p>Some words of an article.</p><p>And more.</p></td></tr></table>"
+    assert main_text(layout) == "Some words of an article.\nAnd more."
+    assert main_text("<table><tr><td>a<td>b<tr><td>c</table>") == "a b\nc"
+    long = "<div><p>%s</p></div><div><p>Short.</p></div>" % ("word " * 300)
+    assert main_text(long).endswith("\nShort.")
+    assert main_text("<p>Before <span class=ad>buy</span> and after <button>x</button> it.</p>") == "Before and after it."
     assert main_text("<p>one<p>two</div></span><p>thr") == "one\ntwo\nthr"
     assert main_text("<p>" + "word " * 100_000).count("word") == 100_000
     assert main_text("<div>" * 3000 + "deep") == "deep"
