@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import map_texts, staged, without_ids
+from podium.llm.common import map_texts, staged, unstage, without_ids
 from podium.llm.components import components
 
 SEED = 42
@@ -251,9 +252,10 @@ def links(
     dealt = placed.join(large, "key", "left")
     homes = dealt.where("home").select("key", row.alias("down"), each("across"), F.lit(True).alias("home"), *columns)
     everyone = dealt.select("key", each("down"), column.alias("across"), F.lit(False).alias("home"), *columns)
-    return (
-        homes.unionByName(everyone).groupBy("key", "down", "across").applyInArrow(compare, "u long, v long")
-    )
+    tiles = homes.unionByName(everyone).groupBy("key", "down", "across")
+    found = staged(tiles.applyInArrow(compare, "u long, v long"), "anchor-links")
+    unstage(placed)
+    return found
 
 
 def check_bits(similarity: float) -> int:
@@ -275,9 +277,9 @@ def near_duplicates(
     """One row per row of `docs`: doc_id, fp (signed long), component_id.
 
     Fingerprints of `size`-word shingles link at `threshold` or fewer differing bits; component_id
-    is the smallest id reachable over links. With `similarity`, 128 further bits have to say that
-    the shingles are at least so similar (Jaccard): among billions of texts, some fingerprints are
-    close by chance. Copies are one node each, so a group of equal fingerprints of any size is
+    is the smallest id reachable over links. With `similarity`, each text has three SimHashes; a link
+    needs one within the threshold, and the other two, 128 bits, to say that the shingles are at
+    least so similar (Jaccard): among billions of texts, some fingerprints are close by chance. Copies are one node each, so a group of equal fingerprints of any size is
     compared once.
 
     Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows share
@@ -289,14 +291,16 @@ def near_duplicates(
         fingerprints(docs, size=size, checked=similarity is not None, doc_id=doc_id, text=text), "fingerprints"
     )
     nodes = staged(hashed.groupBy(*prints).agg(F.min("doc_id").alias("node")), "nodes")
-    linked = links(
-        nodes.where("node is not null"),
-        threshold=threshold,
-        check=None if similarity is None else check_bits(similarity),
-        block=block,
-        pairs=nodes.count() >= pairs_from,
-    )
-    found = components(linked)
+    known, pairs = nodes.where("node is not null"), nodes.count() >= pairs_from
+    # With checks, each of the three SimHashes is looked up in turn and the other two are the checks:
+    # a pair that one of them parts by chance is found by another.
+    turns = 1 if similarity is None else len(prints)
+    check = None if similarity is None else check_bits(similarity)
+    linked = []
+    for k in range(turns):
+        turned = known.select("node", *(F.col(prints[(k + i) % len(prints)]).alias(name) for i, name in enumerate(prints)))
+        linked.append(links(turned, threshold=threshold, check=check, block=block, pairs=pairs))
+    found = components(reduce(DataFrame.unionByName, linked))
     classes = nodes.join(found, nodes["node"] == found["u"], "left").select(
         *prints, F.coalesce("root", "node").alias("component_id")
     )
