@@ -132,13 +132,15 @@ def sequences(docs: DataFrame, *, separator: str = "\n\n", doc_id: str = "doc_id
 
     The pieces of a sequence are joined by `separator` in the order of their offsets; doc_ids has the
     document of each. White space inside a piece stays as it is. The texts are counted and cut by
-    words. Rows that repeat an id have to repeat its text; rows without an id are one document.
+    words. Every row is a document of its own, also one without an id or with an id that others have:
+    rows are told apart by a number that is written with them.
     """
-    placed = staged(packed(docs, doc_id=doc_id, text=text, **options), "packed")
-    slots = F.collect_list(F.struct("start", "n_tokens", "bin_id", "capacity", "offset")).alias("slots")
-    wanted = placed.groupBy("doc_id").agg(slots).hint("shuffle_hash")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    joined = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select(rows["doc_id"], "text", "slots")
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    placed = staged(packed(rows, doc_id="row", **options), "packed")
+    slots = F.collect_list(F.struct("start", "n_tokens", "bin_id", "capacity", "offset")).alias("slots")
+    wanted = placed.groupBy(F.col("doc_id").alias("row")).agg(slots).hint("shuffle_hash")
+    joined = rows.join(wanted, "row").select("doc_id", "text", "slots")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         names = ["bin_id", "capacity", "offset", "n_tokens", "doc_id", "text"]
@@ -158,7 +160,7 @@ def sequences(docs: DataFrame, *, separator: str = "\n\n", doc_id: str = "doc_id
                 columns = list(zip(*out)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    own = F.array_sort(F.array_distinct(F.collect_list(F.struct("offset", "n_tokens", "doc_id", "text"))))
+    own = F.array_sort(F.collect_list(F.struct("offset", "n_tokens", "doc_id", "text")))
     filled = (
         joined.mapInArrow(cut, "bin_id long, capacity long, offset long, n_tokens long, doc_id long, text string")
         .groupBy("bin_id", "capacity")
