@@ -49,7 +49,7 @@ _MARKS = re.compile(
 _HEADERS = re.compile(r"(?:^|[^a-z])header(?![a-z])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SIGMA = 1.0
-# Part of the content's characters that a container has to hold to be narrowed down to.
+# Part of the content's characters that article and main elements have to hold to be narrowed down to.
 _SHARE = 0.8
 _LINES = 3
 
@@ -189,26 +189,35 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     ratio = _smoothed(np.log1p(chars / tags), sigma)
     limit = _threshold(ratio)
     content = ratio >= limit
-    # The region: the innermost container that still holds most of the content's characters.
-    # One that is not named an article has to have several lines: a long paragraph is not a region.
-    held, count = np.zeros(len(parser.names)), np.zeros(len(parser.names))
+    # The region: the article and main elements as a whole, if they hold most of the content's
+    # characters; else the innermost container that holds all lines of the content. One that is not
+    # named an article has to have several lines: a long paragraph is not a region.
+    parents = parser.parents
+    held, chosen, plain, count = (np.zeros(len(parser.names)) for _ in range(4))
     for k in range(len(lines)):
         held[lines[k][3]] += chars[k] * content[k]
+        chosen[lines[k][3]] += content[k]
+        plain[lines[k][3]] += chars[k]
         count[lines[k][3]] += 1
-    parents = parser.parents
     for e in range(len(held) - 1, 0, -1):
-        held[parents[e]] += held[e]
-        count[parents[e]] += count[e]
-    region = 0
+        for sums in (held, chosen, plain, count):
+            sums[parents[e]] += sums[e]
+    within = np.zeros(len(held), dtype=bool)
     for e in range(1, len(held)):
-        # More than half of the content is inside, so these are nested; inner ones come later.
-        if held[e] > 0 and held[e] >= _SHARE * held[0] and parser.names[e] in _CONTAINERS:
-            if parser.names[e] in _ARTICLE or count[e] >= _LINES:
-                region = e
+        within[e] = within[parents[e]] or parser.names[e] in _ARTICLE
+    tops = [e for e in range(1, len(held)) if within[e] and not within[parents[e]] and plain[e]]
+    regions = [0]
+    if tops and held[tops].sum() >= _SHARE * held[0]:
+        regions = tops
+    else:
+        # All of the content is inside, so these are nested; inner ones come later.
+        for e in range(1, len(held)):
+            if chosen[e] == chosen[0] and count[e] >= _LINES and parser.names[e] in _CONTAINERS and not within[e]:
+                regions = [e]
     inside = np.zeros(len(held), dtype=bool)
-    inside[region] = True
-    for e in range(region + 1, len(held)):
-        inside[e] = inside[parents[e]]
+    inside[regions] = True
+    for e in range(1, len(held)):
+        inside[e] |= inside[parents[e]]
     own = np.array([inside[line[3]] for line in lines])
     # Lists of links are menus, named or not: lines of hardly anything but links, two or more in a
     # row, in a part of the page with little text.
@@ -225,9 +234,9 @@ def extract_pages(
 
     A page is read once, as a stream of parser events that makes one line of each block. Each line
     has a text-to-tag ratio (characters outside links, per tag); the ratios are smoothed with a
-    Gaussian and parted into two clusters. The text is that of the innermost container that holds
-    most of the upper cluster: all of its blocks in page order, short ones too, but for elements that
-    are never an article's (menus, forms, ...) or are named like it, and runs of links.
+    Gaussian and parted into two clusters. The text is that of the article and main elements, if
+    they hold most of the upper cluster, or else of the innermost container that holds all of it: all
+    of its blocks in page order, short ones too, but for elements that are never an article's (menus, forms, ...) or are named like it, and runs of links.
 
     A null or empty page, and one without an article, has an empty text. Repeated rows give equal
     results. Other columns are ignored.

@@ -86,6 +86,17 @@ def test_terms_that_give_a_value_away(spark):
     assert out[60] == "the Hapaxword said once at [email] only" and out[10] == texts[10]
 
 
+def test_terms_far_from_the_value(spark):
+    far = " ".join(f"filler{k % 7}" for k in range(60))
+    rows = [(i, f"Zorbulax 𝒳 came first. {far} boss@corp.example {far} and zorbulax again {i}") for i in range(6)]
+    rows += [(10 + i, f"{far} and came first again {far}") for i in range(40)]
+    docs, texts = documents(spark, [*rows, (70, "Zorbulax alone")]), dict(rows)
+    got = {r.doc_id: r.spans for r in private_spans(docs).select("doc_id", digest(F.col("spans"), (TERM,)).alias("spans")).collect()}
+    for i in range(6):
+        assert [texts[i][int(a) : int(b)] for _, a, b in (s.split(":") for s in got[i].split(","))] == ["Zorbulax", "zorbulax"]
+    assert all(not spans for i, spans in got.items() if i >= 10)
+
+
 # --- benchmark leaks
 
 
@@ -175,6 +186,22 @@ def test_main_text(around):
     assert main_text(PAGE % (around % BODY)) == TEXT
 
 
+def test_main_text_keeps_the_whole_article():
+    long = "words of a sentence that goes on, " * 30
+    inner = f"<p>{long}</p>" * 3
+    for box in ("div class=body", "section", "table"):
+        end = box.split()[0]
+        inside = f"<tr><td>{inner}</td></tr>" if end == "table" else inner
+        got = main_text(f"<body><article><h1>Title</h1><{box}>{inside}</{end}><p>End</p></article></body>")
+        assert got.startswith("Title\n") and got.endswith("\nEnd")
+    parts = f"<section>{inner}</section><section><h2>Next</h2><p>{long}</p></section>"
+    assert main_text(f"<article>{parts}</article>").count("goes on") == 120
+    # Without an article: what the clusters select is in.
+    assert main_text(f"<div>Short.</div><div>{inner}</div><div><p>{long}</p></div>").count("goes on") == 120
+    both = main_text(f"<body><article>{inner * 3}</article><article><p>{long}</p></article></body>")
+    assert both.count("goes on") == 300
+
+
 def test_main_text_of_broken_and_empty_pages():
     assert main_text(None) == main_text("") == main_text("<html><nav><a href=x>y</a></nav>") == ""
     assert main_text("just text &lt;b&gt; &am") == "just text <b> &am"
@@ -267,6 +294,15 @@ def test_sequences_hold_the_texts(spark):
     assert sorted(w for i, text in pieces if i == 3 for w in text.split()) == sorted(words(0, 100))
 
 
+def test_sequences_of_rows_that_share_an_id(spark):
+    rows = [(None, " ".join(words(100 * k, 3 * k + 1))) for k in range(15)] + [(None, None), (None, "q"), (None, "q")]
+    rows += [(7, " ".join(words(5000, 40))), (7, " ".join(words(6000, 5))), (7, " ".join(words(6000, 5)))]
+    got = sequences(many_partitions(documents(spark, rows)), lengths=(16, 32)).collect()
+    assert all(r.n_tokens <= r.capacity for r in got)
+    assert sum(r.n_tokens for r in got) == sum(len((t or "").split()) + 1 for _, t in rows)
+    assert Counter(w for r in got for w in r.text.split()) == Counter(w for _, t in rows for w in (t or "").split())
+
+
 # --- the pipeline
 
 
