@@ -27,6 +27,8 @@ _PARTS = ((0, 22), (22, 21), (43, 21))
 BLOCK = 16_384
 # From so many different fingerprints on, anchors cover two parts at once (24 bits instead of 12).
 PAIRS_FROM = 1 << 26
+# Candidates that a node at an anchor is first compared with by its shingles.
+PARTNERS = 16
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -88,9 +90,9 @@ def fingerprint(text: str | None, size: int = 4) -> int:
 def fingerprints(
     docs: DataFrame, *, size: int = 4, checked: bool = False, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id and fp (the SimHash as a signed long) of every row, and two checks.
+    """doc_id and fp (the SimHash as a signed long) of every row, and two more SimHashes.
 
-    The checks are 128 more bits, made of other hashes of the same shingles; 0 unless asked for. A
+    Those are 128 more bits, made of other hashes of the same shingles; 0 unless asked for. A
     null text has fingerprint 0.
     """
 
@@ -169,22 +171,18 @@ def _anchors(fps: np.ndarray, extra: int, steps: tuple, pairs: bool) -> tuple[np
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
-def _linked(homes: np.ndarray, others: np.ndarray, threshold: int, check: int | None):
-    """Links between two blocks of rows (node, fp, c1, c2): all of them where they are few, else as
-    many as connect the same nodes.
+def _linked(homes: np.ndarray, others: np.ndarray, threshold: int):
+    """Links between two blocks of rows (node, fp): all of them where they are few, else as many as
+    connect the same nodes.
     """
     top = np.iinfo(np.int64).max
-    ids, fps, more = others[0], others[1].view(np.uint64), others[2:].view(np.uint64)
+    ids, fps = others[0], others[1].view(np.uint64)
     left, right = [], []
     rows = max(1, 4_000_000 // max(1, len(ids)))
     for start in range(0, homes.shape[1], rows):
         part = homes[:, start : start + rows]
         near = np.bitwise_count(part[1].view(np.uint64)[:, None] ^ fps[None, :]) <= threshold
         near &= part[0][:, None] != ids[None, :]
-        if check is not None:
-            a, b = near.nonzero()
-            bits = np.bitwise_count(part[2:, a].view(np.uint64) ^ more[:, b]).sum(axis=0, dtype=np.int64)
-            near[a, b] = bits <= check
         if near.sum() <= 2 * (part.shape[1] + len(ids)):
             a, b = near.nonzero()
             left.append(part[0][a])
@@ -205,46 +203,64 @@ def _linked(homes: np.ndarray, others: np.ndarray, threshold: int, check: int |
     return left[left != right], right[left != right]
 
 
-def links(
-    nodes: DataFrame, *, threshold: int = 4, check: int | None = None, block: int = BLOCK, pairs: bool = False
-) -> DataFrame:
-    """Links (u, v) that connect all nodes (node, fp, c1, c2: long, no nulls) within `threshold` bits.
+def _candidates(homes: np.ndarray, others: np.ndarray, check: int, most: int):
+    """Pairs between two blocks of rows (node, root, fp, c1, c2) that have different roots and
+    differ in at most `check` of all bits, and whether there are more.
 
-    With `check`, their checks have to differ by at most so many of 128 bits, too. Between each two
-    such nodes there is a path of links, not always a direct one. Each fingerprint goes to all its
-    anchors; at an anchor, those that have it as nearest are compared with all. An anchor with more
-    than `block` rows on a side is compared block against block, in many tasks.
+    A row with more than `most` partners gives those that come first in an order that is the same
+    everywhere, so that the rows of a crowd share their partners.
     """
+    others = others[:, np.argsort(_mixed(others[0].view(np.uint64), 1), kind="stable")]
+    ids, roots, prints = others[0], others[1], others[2:].view(np.uint64)
+    left, right, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], False
+    rows = max(1, 4_000_000 // max(1, len(ids)))
+    for start in range(0, homes.shape[1], rows):
+        part = homes[:, start : start + rows]
+        bits = np.bitwise_count(part[2].view(np.uint64)[:, None] ^ prints[0][None, :])
+        for k in range(1, len(prints)):
+            bits += np.bitwise_count(part[2 + k].view(np.uint64)[:, None] ^ prints[k][None, :])
+        near = (bits <= check) & (part[1][:, None] != roots[None, :]) & (part[0][:, None] != ids[None, :])
+        crowded = np.flatnonzero(near.sum(axis=1) > most)
+        if len(crowded):
+            more = True
+            near[crowded] &= near[crowded].cumsum(axis=1, dtype=np.int32) <= most
+        a, b = near.nonzero()
+        left.append(part[0][a])
+        right.append(ids[b])
+    return np.concatenate(left), np.concatenate(right), more
+
+
+def _placed(nodes: DataFrame, threshold: int, pairs: bool) -> DataFrame:
+    """key, home and the columns of `nodes` (node, fp, ...: long) for each anchor of each fingerprint."""
     if not 0 <= threshold <= 8:
         raise ValueError("threshold has to be from 0 to 8 bits")
-    columns = ["node", "fp", "c1", "c2"]
+    columns = nodes.columns
     extra = threshold * 2 // 3 if pairs else threshold // 3
-    steps = _steps(extra)
+    steps, at = _steps(extra), columns.index("fp")
 
     def replicate(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 2048):
             values = [np.asarray(x, dtype=np.int64) for x in batch.slice(start, 2048).columns]
-            which, key, home = _anchors(values[1].view(np.uint64), extra, steps, pairs)
+            which, key, home = _anchors(values[at].view(np.uint64), extra, steps, pairs)
             rows = [key, home, *(x[which] for x in values)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["key", "home", *columns])
 
-    def compare(group: pa.Table) -> pa.Table:
-        home = np.asarray(group.column("home"))
-        rows = np.stack([np.asarray(group.column(x), dtype=np.int64) for x in columns])
-        u, v = _linked(rows[:, home], rows[:, ~home], threshold, check)
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return staged(map_texts(nodes, replicate, "key long, home boolean, " + ", ".join(f"{c} long" for c in columns)), "anchors")
 
-    placed = staged(
-        map_texts(nodes.select(*columns), replicate, "key long, home boolean, node long, fp long, c1 long, c2 long"),
-        "anchors",
-    )
+
+def _tiles(placed: DataFrame, block: int):
+    """The rows of each anchor, grouped: an anchor with more than `block` rows on a side is dealt out
+    block against block.
+    """
+    columns = [c for c in placed.columns if c not in ("key", "home")]
     sizes = placed.groupBy("key").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("all"))
     # At most one row per anchor, and only for the large ones.
     large = sizes.where(F.greatest("homes", "all") > block).select(
         "key", F.ceil(F.col("homes") / block).alias("down"), F.ceil(F.col("all") / block).alias("across")
     )
-    row = F.pmod(F.xxhash64("fp", "c1"), F.coalesce("down", F.lit(1)))
-    column = F.pmod(F.xxhash64("fp", "c1"), F.coalesce("across", F.lit(1)))
+    by = F.xxhash64("fp", *(c for c in columns if c == "c1"))
+    row = F.pmod(by, F.coalesce("down", F.lit(1)))
+    column = F.pmod(by, F.coalesce("across", F.lit(1)))
 
     def each(n: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(n, F.lit(1)) - 1)).alias(n)
@@ -252,15 +268,146 @@ def links(
     dealt = placed.join(large, "key", "left")
     homes = dealt.where("home").select("key", row.alias("down"), each("across"), F.lit(True).alias("home"), *columns)
     everyone = dealt.select("key", each("down"), column.alias("across"), F.lit(False).alias("home"), *columns)
-    tiles = homes.unionByName(everyone).groupBy("key", "down", "across")
-    found = staged(tiles.applyInArrow(compare, "u long, v long"), "anchor-links")
+    return homes.unionByName(everyone).groupBy("key", "down", "across")
+
+
+def _sides(group: pa.Table, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    home = np.asarray(group.column("home"))
+    rows = np.stack([np.asarray(group.column(x), dtype=np.int64) for x in columns])
+    return rows[:, home], rows[:, ~home]
+
+
+def links(nodes: DataFrame, *, threshold: int = 4, block: int = BLOCK, pairs: bool = False) -> DataFrame:
+    """Links (u, v) that connect all nodes (node, fp: long, no nulls) within `threshold` bits.
+
+    Between each two such nodes there is a path of links, not always a direct one. Each fingerprint
+    goes to all its anchors; at an anchor, those that have it as nearest are compared with all. An
+    anchor with more than `block` rows on a side is compared block against block, in many tasks.
+    """
+
+    def compare(group: pa.Table) -> pa.Table:
+        u, v = _linked(*_sides(group, ["node", "fp"]), threshold)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    placed = _placed(nodes.select("node", "fp"), threshold, pairs)
+    found = staged(_tiles(placed, block).applyInArrow(compare, "u long, v long"), "anchor-links")
     unstage(placed)
     return found
 
 
-def check_bits(similarity: float) -> int:
-    """How many of 128 check bits differ at most, as expected for texts of that shingle similarity."""
-    return round(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def check_bits(similarity: float, bits: int = 128, sigmas: float = 0) -> int:
+    """How many of so many bits differ at most, as expected for texts of that shingle similarity and
+    `sigmas` standard deviations more.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + sigmas * math.sqrt(bits * share * (1 - share)))
+
+
+def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, fp and the hashes of the different shingles of every row (doc_id, text)."""
+
+    def run(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            texts = part.column(1).to_pylist()
+            fps = pa.array(simhashes(texts, size)[0].view(np.int64), pa.int64())
+            sets = [list({xxhash.xxh64_intdigest(x, SEED) for x in shingles(text, size)}) for text in texts]
+            own = [np.array(x, np.uint64).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), fps, pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "fp", "shingles"]
+            )
+
+    return map_texts(docs, run, "doc_id long, fp long, shingles array<long>")
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, similarity: float, most_broadcast: int = 1_000_000
+) -> DataFrame:
+    """The pairs (u, v) whose shingle sets have a Jaccard similarity of `similarity` or more."""
+    wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "candidates")
+    hint = "broadcast" if wanted.count() <= most_broadcast else "shuffle_hash"
+    rows = docs.join(wanted.hint(hint), docs["doc_id"] == wanted["node"], "left_semi")
+    own = nodes.select("node", "fp").join(wanted, "node", "left_semi").withColumnRenamed("node", "doc_id")
+    # An id may be repeated with another text: the node's fingerprint tells which text is meant.
+    found = _shingle_sets(rows, size).join(own, ["doc_id", "fp"], "left_semi")
+    sets = staged(
+        found.groupBy(F.col("doc_id").alias("node"), F.xxhash64("shingles").alias("h")).agg(F.any_value("shingles").alias("s")).drop("h"),
+        "shingle-sets",
+    )
+    left, right = sets.toDF("u", "a"), sets.toDF("v", "b")
+    shared = F.size(F.array_intersect("a", "b"))
+    union = F.size("a") + F.size("b") - F.col("shared")
+    good = pairs.join(left, "u").join(right, "v").withColumn("shared", shared)
+    good = staged(good.where(F.try_divide("shared", union) >= similarity).select("u", "v").distinct(), "similar")
+    for frame in (wanted, sets):
+        unstage(frame)
+    return good
+
+
+def similar_links(
+    nodes: DataFrame,
+    docs: DataFrame,
+    *,
+    size: int,
+    threshold: int,
+    similarity: float,
+    block: int = BLOCK,
+    partners: int = PARTNERS,
+) -> DataFrame:
+    """Links (u, v) that connect all nodes (node, fp, c1, c2) whose texts have so similar shingles.
+
+    Each SimHash is looked up in turn. Nodes that meet at an anchor are candidates if all 192 bits
+    differ by no more than expected at that similarity and four standard deviations; of each
+    candidate pair, the shingle sets are compared (exact Jaccard). A node with more than `partners`
+    candidates at an anchor begins with so many, the same ones as its neighbours; its anchor is then
+    looked at again for the pairs that are not connected yet, with more partners each time, until
+    none is left: a large group is not compared pair by pair, and no pair is skipped.
+    """
+    prints = ["fp", "c1", "c2"]
+    check = check_bits(similarity, BITS * len(prints), 4)
+    columns = ["node", "root", *prints]
+
+    def search(placed: DataFrame, most: int) -> DataFrame:
+        def compare(group: pa.Table) -> pa.Table:
+            u, v, more = _candidates(*_sides(group, columns), check, most)
+            keys = np.zeros(len(u), np.int64)
+            if more:
+                u, v, keys = np.append(u, -1), np.append(v, -1), np.append(keys, group.column("key")[0].as_py())
+            again = pa.array([False] * (len(u) - more) + [True] * more, pa.bool_())
+            return pa.table({"u": pa.array(np.minimum(u, v)), "v": pa.array(np.maximum(u, v)), "key": pa.array(keys), "again": again})
+
+        return staged(_tiles(placed, block).applyInArrow(compare, "u long, v long, key long, again boolean"), "candidate-pairs")
+
+    def crowds(found: DataFrame, placed: DataFrame) -> DataFrame | None:
+        keys = found.where("again").select("key").distinct()
+        if keys.isEmpty():
+            return None
+        return staged(placed.join(keys.hint("broadcast"), "key", "left_semi"), "crowds")  # one row per anchor at most
+
+    found, left = [], []
+    for k in range(len(prints)):
+        turned = nodes.select("node", *(F.col(prints[(k + i) % len(prints)]).alias(name) for i, name in enumerate(prints)))
+        placed = _placed(turned, threshold, pairs=False)
+        found.append(search(placed.withColumn("root", F.col("node")), partners))
+        left.append(crowds(found[-1], placed))
+        unstage(placed)
+    good, most = [], partners
+    while found:
+        pairs = staged(reduce(DataFrame.unionByName, found).where("not again").select("u", "v").distinct(), "pairs")
+        for frame in found:
+            unstage(frame)
+        good.append(_verified(pairs, docs, nodes, size, similarity))
+        unstage(pairs)
+        crowded = [x for x in left if x is not None]
+        found, left, most = [], [], most * 8
+        if crowded:
+            roots = components(reduce(DataFrame.unionByName, good)).select(F.col("u").alias("node"), "root")
+            for placed in crowded:
+                known = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                found.append(search(known, most))
+                left.append(crowds(found[-1], placed))
+                unstage(placed)
+    return reduce(DataFrame.unionByName, good)
 
 
 def near_duplicates(
@@ -277,10 +424,10 @@ def near_duplicates(
     """One row per row of `docs`: doc_id, fp (signed long), component_id.
 
     Fingerprints of `size`-word shingles link at `threshold` or fewer differing bits; component_id
-    is the smallest id reachable over links. With `similarity`, each text has three SimHashes; a link
-    needs one within the threshold, and the other two, 128 bits, to say that the shingles are at
-    least so similar (Jaccard): among billions of texts, some fingerprints are close by chance. Copies are one node each, so a group of equal fingerprints of any size is
-    compared once.
+    is the smallest id reachable over links. With `similarity`, each text has three SimHashes, which
+    only find candidates; texts link if the exact Jaccard similarity of their shingle sets is at least
+    that, see :func:`similar_links`. The threshold is then the reach of the anchors. Copies are one
+    node each, so a group of equal fingerprints of any size is compared once.
 
     Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows share
     their component. A row without an id is in the component of its fingerprint, and makes no links
@@ -291,16 +438,13 @@ def near_duplicates(
         fingerprints(docs, size=size, checked=similarity is not None, doc_id=doc_id, text=text), "fingerprints"
     )
     nodes = staged(hashed.groupBy(*prints).agg(F.min("doc_id").alias("node")), "nodes")
-    known, pairs = nodes.where("node is not null"), nodes.count() >= pairs_from
-    # With checks, each of the three SimHashes is looked up in turn and the other two are the checks:
-    # a pair that one of them parts by chance is found by another.
-    turns = 1 if similarity is None else len(prints)
-    check = None if similarity is None else check_bits(similarity)
-    linked = []
-    for k in range(turns):
-        turned = known.select("node", *(F.col(prints[(k + i) % len(prints)]).alias(name) for i, name in enumerate(prints)))
-        linked.append(links(turned, threshold=threshold, check=check, block=block, pairs=pairs))
-    found = components(reduce(DataFrame.unionByName, linked))
+    known = nodes.where("node is not null")
+    if similarity is None:
+        linked = links(known, threshold=threshold, block=block, pairs=nodes.count() >= pairs_from)
+    else:
+        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+        linked = similar_links(known, rows, size=size, threshold=threshold, similarity=similarity, block=block)
+    found = components(linked)
     classes = nodes.join(found, nodes["node"] == found["u"], "left").select(
         *prints, F.coalesce("root", "node").alias("component_id")
     )

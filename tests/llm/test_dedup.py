@@ -19,8 +19,10 @@ from podium.llm.simhash import (
     check_bits,
     drop_near_duplicates,
     fingerprint,
+    fingerprints,
     links,
     near_duplicates,
+    similar_links,
 )
 from podium.llm.substring_dedup import repeated_passages, without_repeats
 
@@ -165,6 +167,50 @@ def test_checked_near_duplicates_are_dropped(spark):
     assert check_bits(1.0) == 0 < check_bits(0.9) < check_bits(0.8)
 
 
+def jaccard(a, b):
+    a, b = ({tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_texts_equal_brute_force(spark):
+    """Pairs around the limit: those of a similarity of 0.8 or more link, no others."""
+    chance, rows = random.Random(13), []
+    for i in range(120):
+        n = chance.choice([60, 120, 300])
+        one = words(10_000 * i, n)
+        other = list(one)
+        goal = chance.uniform(0.7, 0.95)
+        while jaccard(" ".join(one), " ".join(other)) > goal:
+            other[chance.randrange(n)] = f"x{chance.getrandbits(40)}"
+        rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(other))]
+    got = near_duplicates(many_partitions(documents(spark, rows)), size=5, threshold=8, similarity=0.8, block=9)
+    found = {r.doc_id: r.component_id for r in got.collect()}
+    for i in range(120):
+        same = jaccard(rows[2 * i][1], rows[2 * i + 1][1]) >= 0.8
+        assert found[2 * i] == 2 * i and found[2 * i + 1] == 2 * i + (not same)
+
+
+def test_crowds_of_similar_texts_equal_brute_force(spark):
+    """More candidates than a node begins with: no pair is skipped, those below the limit stay apart."""
+    chance, base = random.Random(14), words(0, 200)
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for at in chance.sample(range(200), chance.choice([1, 2, 3, 5, 8])):
+            own[at] = f"x{chance.getrandbits(40)}"
+        rows.append((i, " ".join(own)))
+    docs = many_partitions(documents(spark, rows))
+    nodes = fingerprints(docs, size=5, checked=True).withColumnRenamed("doc_id", "node")
+    linked = similar_links(nodes, docs.select("doc_id", "text"), size=5, threshold=8, similarity=0.8, partners=2)
+    found = {r.u: r.root for r in components(linked).collect()}
+    expected = {i: i for i, _ in rows}
+    for (i, a), (j, b) in combinations(rows, 2):
+        if jaccard(a, b) >= 0.8 and expected[i] != expected[j]:
+            low, high = sorted((expected[i], expected[j]))
+            expected = {k: low if v == high else v for k, v in expected.items()}
+    assert {i: found.get(i, i) for i, _ in rows} == expected and len(set(expected.values())) > 1
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 299), (299, 300)]
     found = {r.u: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
