@@ -26,17 +26,14 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _TERMS = r"\p{L}[\p{L}\p{M}'’-]+"
-_EDGE = r"[\p{L}\p{M}'’-]"
-# Characters on each side of a value whose terms are looked at.
-CONTEXT = 80
 # A term is removed when it gives away so large a part of a value's information ...
 DISCLOSURE = 0.8
-# ... and has been seen beside it in so many different texts.
+# ... and has been seen with it in so many different texts.
 SUPPORT = 3
 
 
-def _located(text: Column, kind: str, context: int) -> Column:
-    """All matches of a kind, in order, each with the text that parts it from the one before."""
+def _located(text: Column, kind: str) -> Column:
+    """All matches of a kind, in order, each with the length of the text that parts it from the one before."""
     pattern = PATTERNS[kind]
     both = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), 0).alias("values"), F.split(text, pattern, -1).alias("gaps")
@@ -44,20 +41,12 @@ def _located(text: Column, kind: str, context: int) -> Column:
 
     def described(found: Column) -> Column:
         def one(value: Column, i: Column) -> Column:
-            before, after = F.get(found["gaps"], i), F.get(found["gaps"], i + 1)
+            before = F.get(found["gaps"], i)
             return F.struct(
                 F.lit(KINDS.index(kind)).alias("kind"),
                 i.alias("i"),
                 F.length(before).alias("gap"),
                 value.alias("value"),
-                F.when(
-                    F.length(before) > context,
-                    F.regexp_replace(F.right(before, F.lit(context)), f"^{_EDGE}+", ""),
-                ).otherwise(before).alias("left"),
-                F.when(
-                    F.length(after) > context,
-                    F.regexp_replace(F.left(after, F.lit(context)), f"{_EDGE}+$", ""),
-                ).otherwise(after).alias("right"),
             )
 
         return F.transform(found["values"], one)
@@ -78,16 +67,15 @@ def _valid() -> Column:
     )
 
 
-def personal_values(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", context: int = CONTEXT) -> DataFrame:
-    """One row per value found: doc_id, text_hash, kind, start, end, value, left, right.
+def personal_values(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per value found: doc_id, text_hash, kind, start, end, value.
 
-    kind is the index in ``KINDS``; start and end count code points, end exclusive; left and right
-    are up to `context` characters on each side, whole words only. The positions are running sums
-    over the matches of one text.
+    kind is the index in ``KINDS``; start and end count code points, end exclusive. The
+    positions are running sums over the matches of one text.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), content.alias("text"))
-    found = F.concat(*(F.coalesce(_located(F.col("text"), kind, context), F.array()) for kind in KINDS))
+    found = F.concat(*(F.coalesce(_located(F.col("text"), kind), F.array()) for kind in KINDS))
     hits = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(found).alias("hit")).select(
         "doc_id", "text_hash", "hit.*"
     )
@@ -100,7 +88,7 @@ def personal_values(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         hits.withColumn("end", end)
         .withColumn("start", F.col("end") - width)
         .where(_valid())
-        .select("doc_id", "text_hash", "kind", "start", "end", "value", "left", "right")
+        .select("doc_id", "text_hash", "kind", "start", "end", "value")
     )
 
 
@@ -110,77 +98,94 @@ def _entity() -> Column:
     return F.concat_ws(":", F.col("kind"), plain)
 
 
-def _terms_of(side: Column, first: Column) -> Column:
-    """The terms of a context that starts at position `first`, with their positions."""
-    both = F.struct(
-        F.regexp_extract_all(side, F.lit(_TERMS), 0).alias("values"),
-        F.transform(F.split(side, _TERMS, -1), F.length).alias("gaps"),
-    )
+def _prose(text: Column) -> Column:
+    """The text with spaces in place of its e-mail addresses, whose parts are not terms."""
+    pattern = PATTERNS["email"]
+    blank = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda v: F.repeat(F.lit(" "), F.length(v)))
+    parts = F.zip_with(F.split(text, pattern, -1), blank, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.contains("@"), F.array_join(parts, "")).otherwise(text)
 
-    def placed(found: Column) -> Column:
-        def one(value: Column, i: Column) -> Column:
-            before = F.aggregate(F.slice(found["gaps"], 1, i + 1), F.lit(0), lambda a, x: a + x)
-            before += F.aggregate(F.slice(found["values"], 1, i), F.lit(0), lambda a, x: a + F.length(x))
-            return F.struct(F.lower(value).alias("term"), (first + before).alias("start"), (first + before + F.length(value)).alias("end"))
 
-        return F.transform(found["values"], one)
+def _terms_of(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(_prose(text), F.lit(_TERMS), 0), F.lower))
 
-    return F.flatten(F.transform(F.array(both), placed))
 
+def _places(texts: DataFrame) -> DataFrame:
+    """text_hash, term, start and end of every term of every text."""
+    prose = texts.select("text_hash", _prose(F.col("text")).alias("text"))
+    gaps = F.transform(F.split("text", _TERMS, -1), F.length)
+    found = F.arrays_zip(F.regexp_extract_all("text", F.lit(_TERMS), 0).alias("value"), gaps.alias("gap"))
+    rows = prose.select("text_hash", F.posexplode(found).alias("i", "t")).select("text_hash", "i", "t.*")
+    # Behind the last term there is one more gap.
+    rows = rows.where("value is not null")
+    so_far = Window.partitionBy("text_hash").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    width = F.length("value").cast("long")
+    end = F.sum(F.col("gap") + width).over(so_far)
+    return rows.select("text_hash", F.lower("value").alias("term"), (end - width).alias("start"), end.alias("end"))
 
-def _contexts(values: DataFrame) -> DataFrame:
-    """One row per term beside a value: doc_id, text_hash, entity, term, start, end."""
-    left = _terms_of(F.col("left"), F.col("start") - F.length("left"))
-    right = _terms_of(F.col("right"), F.col("end"))
-    return values.select(
-        "doc_id", "text_hash", _entity().alias("entity"), F.explode(F.concat(left, right)).alias("t")
-    ).select("doc_id", "text_hash", "entity", "t.*")
 
+def _hint(frame: DataFrame, most_broadcast: int) -> DataFrame:
+    return frame.hint("broadcast" if frame.count() <= most_broadcast else "shuffle_hash")
 
-def revealing_terms(
+
+def revealing_spans(
     docs: DataFrame,
-    contexts: DataFrame,
+    values: DataFrame,
     *,
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
     text: str = "text",
     most_broadcast: int = 1_000_000,
 ) -> DataFrame:
-    """Pairs (entity, term, disclosure) of terms that give a protected value away.
+    """text_hash, start, end of the terms that give a protected value of their text away.
 
     Over all documents, the information that a term t gives about a value c is their pointwise
-    mutual information, log N n(t, c) / (n(t) n(c)), and c's own information is log N / n(c). A
-    term whose share of it reaches `disclosure` is revealing: it almost never occurs in documents
-    without the value. Terms beside the value in fewer than `support` different texts are left out:
-    in so few texts any rare word looks revealing.
+    mutual information, log N n(t, c) / (n(t) n(c)), and c's own information is log N / n(c), where
+    n counts documents, whatever the distance of t and c in them. A term whose share of it reaches
+    `disclosure` is revealing: it almost never occurs in documents without the value. It is marked
+    wherever it occurs in a document that holds the value. Terms in fewer than `support` different
+    texts with the value are left out.
     """
-    seen = contexts.groupBy("entity", "term", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_"))
-    by_text = seen.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    together = staged(
-        by_text.groupBy("entity", "term")
-        .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") >= support),
-        "together",
+    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(content.alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    entities = staged(values.select("text_hash", _entity().alias("entity")).distinct(), "entities")
+    hashes = staged(entities.select("text_hash").distinct(), "hashes")
+    # Equal texts have the same values and terms: they are kept once, with their number.
+    texts = staged(
+        rows.join(_hint(hashes, most_broadcast), "text_hash", "left_semi")
+        .groupBy("text_hash")
+        .agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("m")),
+        "texts",
     )
-    entities = contexts.select("entity", "doc_id", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    wanted = together.select("term").distinct()
-    wanted = wanted.hint("broadcast" if together.count() <= most_broadcast else "shuffle_hash")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(_TERMS), 0))
+    n = float(max(docs.count(), 1))
+    counted = entities.join(texts.select("text_hash", "m"), "text_hash").groupBy("entity").agg(F.sum("m").alias("n_entity"))
+    share = F.col("n_entity") / n
+    # A more frequent term cannot reach the disclosure, even if it occurs in all documents of the value.
+    most = F.col("n_entity") / F.pow(share, 1 - disclosure)
+    counted = staged(counted.where(share < 1).withColumn("most", most), "counted")
+    top = counted.agg(F.max("most")).first()[0]
+    wanted = staged(texts.select(F.explode(_terms_of(F.col("text"))).alias("term")).distinct(), "terms")
     terms = (
-        docs.select(F.explode(words).alias("term"))
-        .join(wanted, "term", "left_semi")
+        rows.select(F.explode(_terms_of(F.col("text"))).alias("term"))
+        .join(_hint(wanted, most_broadcast), "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
+        .where(F.col("n_term") <= F.lit(top or 0.0) * (1 + 1e-9))
     )
-    n = docs.count()
-    own = F.log2(F.lit(float(max(n, 1))) / F.col("n_entity"))
-    given = F.log2(F.col("n_both") * F.lit(float(max(n, 1))) / (F.col("n_term") * F.col("n_entity")))
-    return (
-        together.join(entities, "entity")
-        .join(terms, "term")
-        .select("entity", "term", F.when(own > 0, given / own).otherwise(F.lit(0.0)).alias("disclosure"))
-        .where(F.col("disclosure") >= disclosure)
+    own = texts.select("text_hash", "m", F.explode(_terms_of(F.col("text"))).alias("term")).join(terms, "term")
+    pairs = own.join(entities, "text_hash").join(counted, "entity").where(F.col("n_term") <= F.col("most") * (1 + 1e-9))
+    pairs = staged(pairs, "pairs")
+    together = pairs.groupBy("entity", "term").agg(
+        F.sum("m").alias("n_both"), F.count(F.lit(1)).alias("texts"), F.any_value("n_term").alias("n_term"), F.any_value("n_entity").alias("n_entity")
     )
+    given = F.log2(F.col("n_both") / F.col("n_term") / share)
+    revealing = together.where(F.col("texts") >= support).where(given / -F.log2(share) >= disclosure)
+    marked = staged(
+        pairs.join(revealing.select("entity", "term"), ["entity", "term"]).select("text_hash", "term").distinct(), "revealing"
+    )
+    holders = texts.join(marked.select("text_hash").distinct(), "text_hash", "left_semi")
+    return _places(holders).join(marked, ["text_hash", "term"]).select("text_hash", "start", "end")
 
 
 def private_spans(
@@ -188,27 +193,22 @@ def private_spans(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    context: int = CONTEXT,
     disclosure: float = DISCLOSURE,
     support: int = SUPPORT,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_hash, spans (array of kind, start, end, in order).
 
-    kind is the index in ``KINDS``, or its length for a revealing term beside a value. A null text
+    kind is the index in ``KINDS``, or its length for a revealing term in a text that holds the value. A null text
     counts as empty and has no spans. Rows that repeat an id and a text get the same spans; an id
     may be null. Other columns are ignored.
     """
-    values = staged(personal_values(docs, doc_id=doc_id, text=text, context=context), "values")
-    contexts = _contexts(values)
-    revealing = revealing_terms(docs, contexts, disclosure=disclosure, support=support, text=text)
-    terms = contexts.join(revealing, ["entity", "term"]).select(
-        "doc_id", "text_hash", F.lit(len(KINDS)).alias("kind"), F.col("start").cast("long"), F.col("end").cast("long")
-    )
-    spans = (
-        values.select("doc_id", "text_hash", "kind", "start", "end")
-        .unionByName(terms)
-        .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("kind", "start", "end"))).alias("spans"))
+    values = staged(personal_values(docs, doc_id=doc_id, text=text), "values")
+    terms = revealing_spans(docs, values, disclosure=disclosure, support=support, text=text)
+    span = F.struct(F.lit(len(KINDS)).alias("kind"), "start", "end")
+    terms = terms.groupBy("text_hash").agg(F.collect_list(span).alias("terms"))
+    spans = values.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("spans"))
+    spans = spans.join(terms, "text_hash", "left").select(
+        "doc_id", "text_hash", F.sort_array(F.concat("spans", F.coalesce("terms", F.array()))).alias("spans")
     )
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_hash")
