@@ -26,10 +26,10 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _TERMS = r"\p{L}[\p{L}\p{M}'’-]+"
-# A term is removed when it gives away so large a part of a value's information ...
+# A term is removed when it gives away so large a part of a value's information,
 DISCLOSURE = 0.8
-# ... and has been seen with it in so many different texts.
-SUPPORT = 3
+# ... by a smoothed estimate: as if so many more documents had the term, and the value as often as others.
+SMOOTHING = 2.0
 
 
 def _located(text: Column, kind: str) -> Column:
@@ -134,7 +134,7 @@ def revealing_spans(
     values: DataFrame,
     *,
     disclosure: float = DISCLOSURE,
-    support: int = SUPPORT,
+    smoothing: float = SMOOTHING,
     text: str = "text",
     most_broadcast: int = 1_000_000,
 ) -> DataFrame:
@@ -144,8 +144,8 @@ def revealing_spans(
     mutual information, log N n(t, c) / (n(t) n(c)), and c's own information is log N / n(c), where
     n counts documents, whatever the distance of t and c in them. A term whose share of it reaches
     `disclosure` is revealing: it almost never occurs in documents without the value. It is marked
-    wherever it occurs in a document that holds the value. Terms in fewer than `support` different
-    texts with the value are left out.
+    wherever it occurs in a document that holds the value. No number of texts is asked for, so values
+    that occur once count too; n(t) is smoothed by `smoothing` documents that hold c as often as any.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(content.alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -162,7 +162,7 @@ def revealing_spans(
     counted = entities.join(texts.select("text_hash", "m"), "text_hash").groupBy("entity").agg(F.sum("m").alias("n_entity"))
     share = F.col("n_entity") / n
     # A more frequent term cannot reach the disclosure, even if it occurs in all documents of the value.
-    most = F.col("n_entity") / F.pow(share, 1 - disclosure)
+    most = (F.col("n_entity") + smoothing * share) / F.pow(share, 1 - disclosure) - smoothing
     counted = staged(counted.where(share < 1).withColumn("most", most), "counted")
     top = counted.agg(F.max("most")).first()[0]
     wanted = staged(texts.select(F.explode(_terms_of(F.col("text"))).alias("term")).distinct(), "terms")
@@ -177,10 +177,10 @@ def revealing_spans(
     pairs = own.join(entities, "text_hash").join(counted, "entity").where(F.col("n_term") <= F.col("most") * (1 + 1e-9))
     pairs = staged(pairs, "pairs")
     together = pairs.groupBy("entity", "term").agg(
-        F.sum("m").alias("n_both"), F.count(F.lit(1)).alias("texts"), F.any_value("n_term").alias("n_term"), F.any_value("n_entity").alias("n_entity")
+        F.sum("m").alias("n_both"), F.any_value("n_term").alias("n_term"), F.any_value("n_entity").alias("n_entity")
     )
-    given = F.log2(F.col("n_both") / F.col("n_term") / share)
-    revealing = together.where(F.col("texts") >= support).where(given / -F.log2(share) >= disclosure)
+    given = F.log2((F.col("n_both") + smoothing * share) / (F.col("n_term") + smoothing) / share)
+    revealing = together.where(given / -F.log2(share) >= disclosure)
     marked = staged(
         pairs.join(revealing.select("entity", "term"), ["entity", "term"]).select("text_hash", "term").distinct(), "revealing"
     )
@@ -194,7 +194,7 @@ def private_spans(
     doc_id: str = "doc_id",
     text: str = "text",
     disclosure: float = DISCLOSURE,
-    support: int = SUPPORT,
+    smoothing: float = SMOOTHING,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_hash, spans (array of kind, start, end, in order).
 
@@ -203,7 +203,7 @@ def private_spans(
     may be null. Other columns are ignored.
     """
     values = staged(personal_values(docs, doc_id=doc_id, text=text), "values")
-    terms = revealing_spans(docs, values, disclosure=disclosure, support=support, text=text)
+    terms = revealing_spans(docs, values, disclosure=disclosure, smoothing=smoothing, text=text)
     span = F.struct(F.lit(len(KINDS)).alias("kind"), "start", "end")
     terms = terms.groupBy("text_hash").agg(F.collect_list(span).alias("terms"))
     spans = values.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("spans"))

@@ -97,6 +97,13 @@ def test_terms_far_from_the_value(spark):
     assert all(not spans for i, spans in got.items() if i >= 10)
 
 
+def test_terms_of_a_value_that_occurs_once(spark):
+    rows = [(i, f"the office said something else about number {i}") for i in range(1000)]
+    rows += [(2000, "the Zephyrine office said something at solo@corp.example")]
+    got = private_spans(documents(spark, rows)).select("doc_id", digest(F.col("spans"), (TERM,)).alias("spans"))
+    assert {r.doc_id: r.spans for r in got.where("spans <> ''").collect()} == {2000: "term:4:13,term:36:38"}
+
+
 # --- benchmark leaks
 
 
