@@ -122,7 +122,9 @@ def measured_facts(
     for side in (facts, reference):
         kind = side.select(column(spec.key)).schema[0].dataType
         if spec.null_key is not None and isinstance(kind, StringType):
-            side = side.filter(column(spec.key) != spec.null_key)
+            # Not a plain comparison, which would be pushed down: a database may keep text as a
+            # large object, which it cannot compare.
+            side = side.filter(F.concat(column(spec.key), F.lit("")) != spec.null_key)
         if spec.key_type not in (None, kind.simpleString()):
             side = side.withColumn(spec.key, as_whole(spec.key, spec.key_type))
         names = folded(spark, side.columns)
