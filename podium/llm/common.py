@@ -32,14 +32,23 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return scratch_dir(spark, f"llm-{label}")
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage with all it holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unstage(frame: DataFrame | None) -> None:
     """Delete the files of a staged frame that nothing reads any more."""
     if frame is None:
         return
-    spark = frame.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(frame.sparkSession, folder)
 
 
 def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:

@@ -21,6 +21,7 @@ from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
 from podium.llm.substring_dedup import without_repeats
+from podium.llm.warc import archived
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_simhash": op2_simhash,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op13_warc": op13_warc,
 }
 
 # Words and five-word shingles as the decontamination operator makes them.
@@ -169,4 +175,16 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
                                    ORDER BY shared / (size + n - shared) DESC, place) = 1
     """,
+    "op13_warc": """
+        WITH payloads AS (
+            SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages
+        ), firsts AS (
+            SELECT *, CASE WHEN octet_length(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload) END AS first
+            FROM payloads
+        )
+        SELECT page_id, url, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM firsts
+    """,
 }
