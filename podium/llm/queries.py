@@ -16,6 +16,7 @@ from podium.llm.exact_dedup import exact_duplicates
 from podium.llm.html_extract import extract_pages
 from podium.llm.langid import identify_languages
 from podium.llm.lattice_lm import score_texts
+from podium.llm.lexical_search import search
 from podium.llm.packing import packed
 from podium.llm.pii import KINDS, TERM, digest, private_spans
 from podium.llm.quality import score_quality
@@ -86,6 +87,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op12_lexical_search": op12_lexical_search,
     "op13_warc": op13_warc,
 }
 
@@ -175,6 +181,39 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
                                    ORDER BY shared / (size + n - shared) DESC, place) = 1
     """,
+    "op12_lexical_search": r"""
+        WITH doc_terms AS (
+            SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), item_terms AS (
+            SELECT item, item_id, term, count(*) AS times
+            FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark))
+            GROUP BY ALL
+        ), sizes AS (SELECT doc, count(*) AS n FROM doc_terms GROUP BY doc),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+        counted AS (
+            SELECT doc, doc_id, term, count(*) AS tf
+            FROM doc_terms WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counted, total GROUP BY term, docs
+        ), scored AS (
+            SELECT item, item_id, doc_id, doc, CAST(sum(
+                times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM item_terms JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (doc), total
+            WHERE doc_id IS NOT NULL
+            GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) <= 20
+    """,
     "op13_warc": """
         WITH payloads AS (
             SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages
