@@ -19,6 +19,7 @@ from podium.llm.lattice_lm import score_texts
 from podium.llm.lexical_search import search
 from podium.llm.packing import packed
 from podium.llm.pii import KINDS, TERM, digest, private_spans
+from podium.llm.prefix_trie import prefix_trie
 from podium.llm.quality import score_quality
 from podium.llm.simhash import near_duplicates
 from podium.llm.substring_dedup import without_repeats
@@ -87,6 +88,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_lexical_search": op12_lexical_search,
     "op13_warc": op13_warc,
 }
@@ -181,6 +187,50 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
                                    ORDER BY shared / (size + n - shared) DESC, place) = 1
     """,
+    "op11_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id AS c, turn, md5(concat(strlen(r), ':', r, t)) AS digest,
+                   len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations)
+            WHERE conv_id IS NOT NULL
+        ), numbered AS (
+            SELECT c, digest, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) - 1 AS pos FROM turns
+        ), convs AS (
+            -- crc32 of the decimal id, a byte and a bit at a time.
+            SELECT DISTINCT c, c - c % 20 AS first, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                         lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 4 AS h
+            FROM turns
+        ), parts AS (
+            SELECT v.c, 0 AS part, pos, digest, words FROM convs v JOIN numbered n ON n.c = v.first AND pos < h
+            UNION ALL
+            SELECT v.c, 1 AS part, pos, digest, words FROM convs v JOIN numbered n ON n.c = v.c AND pos >= h
+        ), rebuilt AS (
+            SELECT c, row_number() OVER so_far AS d, md5(string_agg(digest, '') OVER so_far) AS prefix, words
+            FROM parts WINDOW so_far AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+            UNION ALL
+            SELECT c, 0, '', 0 FROM convs
+        ), sizes AS (SELECT c, max(d) AS size FROM rebuilt GROUP BY c),
+        nodes AS (
+            SELECT d, prefix, min(c) AS rep, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = size), '')) AS ends_sha256
+            FROM rebuilt JOIN sizes USING (c) GROUP BY d, prefix
+        ), passed AS (SELECT c, d, rep FROM rebuilt JOIN nodes USING (d, prefix)),
+        parents AS (
+            SELECT nodes.rep, nodes.d, passed.rep AS up FROM nodes LEFT JOIN passed ON passed.c = nodes.rep AND passed.d = nodes.d - 1
+        ), children AS (SELECT up AS rep, d - 1 AS d, count(*) AS n FROM parents WHERE up IS NOT NULL GROUP BY ALL),
+        valued AS (
+            SELECT rep, d, n_convs, coalesce(n, 0) AS n_children, (n_convs - 1) * words AS saved, ends_sha256
+            FROM nodes LEFT JOIN children USING (rep, d)
+        ), totals AS (
+            SELECT p.rep, p.d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+            FROM valued v JOIN passed p ON p.c = v.rep AND p.d <= v.d GROUP BY ALL
+        )
+        SELECT rep AS conv_id, d AS depth, up AS parent_conv_id, n_convs, n_children, n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+        FROM valued JOIN totals USING (rep, d) JOIN parents USING (rep, d)
+    """,
     "op12_lexical_search": r"""
         WITH doc_terms AS (
             SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
