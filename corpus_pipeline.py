@@ -26,8 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return drop_near_duplicates(docs, size=5, threshold=8, similarity=0.8)
+    """One document of each group of near duplicates: SimHashes of four-word shingles, 4 bits apart."""
+    return drop_near_duplicates(docs, size=4, threshold=4)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
