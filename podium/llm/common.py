@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,13 +59,47 @@ def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(rest == remainder, F.lit(False))
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """`docs` without the rows whose id is in `dropped` (one column). Rows without an id stay.
+# What tells rows apart: a hash of their file and the place in it.
+ROW = ("_podium_file", "_podium_row")
+# Most rows to leave out that are sent to all executors, 16 bytes each; above it they are joined by a
+# shuffle. The results do not depend on it.
+MOST_BROADCAST_ROWS = 1_000_000
+_PLAIN = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
-    The ids are the hashed side, so the texts are dealt out but never sorted.
+
+def _is_scan(frame: DataFrame) -> bool:
+    """Whether each row of `frame` is a row of a file: a scan, with columns and rows left out at most."""
+    node = frame._jdf.queryExecution().analyzed()
+    while node.nodeName() in _PLAIN:
+        if node.children().isEmpty():
+            return node.nodeName() == "LogicalRelation"
+        node = node.children().head()
+    return False
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with the columns :data:`ROW`, which are different for all rows and the same in every job.
+
+    Rows read from Parquet files have a place there; any other frame is written once and read back.
+    """
+    names = F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1])
+    if "_metadata" not in docs.columns and _is_scan(docs):
+        try:
+            return docs.select("*", *names)
+        except AnalysisException:
+            pass  # a file format whose rows have no numbers
+    return staged(docs.withColumns({ROW[0]: F.lit(0).cast("long"), ROW[1]: F.monotonically_increasing_id()}), "rows")
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame, most_broadcast: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """`docs`, as :func:`numbered` returned it, without the rows in `dropped`, and without :data:`ROW`.
+
+    The numbers are the hashed side, so the texts are never sorted, and not even dealt out where the
+    rows to leave out are few.
     """
-    ids = dropped.toDF("_dropped_id").hint("shuffle_hash")
-    return docs.join(ids, docs[doc_id] == ids["_dropped_id"], "left_anti")
+    gone = staged(dropped.select(*ROW), "dropped")
+    few = gone.count() <= most_broadcast
+    return docs.join(gone.hint("broadcast" if few else "shuffle_hash"), list(ROW), "left_anti").drop(*ROW)
 
 
 def map_texts(

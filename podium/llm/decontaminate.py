@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import staged, without_ids
+from podium.llm.common import ROW, numbered, staged, without_rows
 
 SIZE = 5
 SIMILARITY = 0.8
@@ -180,6 +180,8 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` without the documents that hold a benchmark item, all columns as they are."""
-    found = contaminated(docs, benchmark, **options).select("doc_id").distinct()
-    return without_ids(docs, found, options.get("doc_id", "doc_id"))
+    """`docs` without the documents that hold a benchmark item, all columns as they are. Rows are told
+    apart by their place, so neither a null nor a repeated id matters."""
+    rows = numbered(docs)
+    found = contaminated(rows.withColumn("_podium_key", F.struct(*ROW)), benchmark, doc_id="_podium_key", **options)
+    return without_rows(rows, found.select("doc_id.*").distinct())

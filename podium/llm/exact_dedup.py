@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import staged, without_ids
+from podium.llm.common import ROW, numbered, staged, without_rows
 
 # Most repeated hashes that are sent to all executors, 16 bytes each; above it they are joined by a
 # shuffle. The results do not depend on it.
@@ -74,7 +74,13 @@ def exact_duplicates(
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with one document of each group of equal texts, all columns as they are."""
-    decided = exact_duplicates(docs, **options)
-    return without_ids(docs, decided.where("not kept").select("doc_id"), options.get("doc_id", "doc_id"))
+def drop_exact_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
+    """`docs` with one document of each group of equal texts, all columns as they are.
+
+    Rows are told apart by their place and not by their id: of every text exactly one row stays, that of
+    the smallest id, whichever ids are null or repeated.
+    """
+    rows = numbered(docs)
+    key = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), *ROW)
+    decided = exact_duplicates(rows.withColumn("_podium_key", key), doc_id="_podium_key", **options)
+    return without_rows(rows, decided.where("not kept").select(*(f"doc_id.{name}" for name in ROW)))

@@ -15,6 +15,8 @@ from podium.llm.common import WORD, staged
 LENGTHS = (512, 1024, 2048, 4096)
 # Pieces that one task packs: enough for bins to be filled, few enough to sort in memory.
 SHARD_PIECES = 20_000
+# Characters of text that a task holds at a time, where it packs texts.
+SHARD_BYTES = 32 << 20
 _WORD = re.compile(WORD)
 
 
@@ -106,7 +108,9 @@ def packed(
     ones and those without an id as well. Other columns are ignored.
     """
     lengths = tuple(sorted(set(lengths)))
-    cut = staged(pieces(docs, longest=lengths[-1], tokens=tokens, doc_id=doc_id, text=text), "pieces")
+    # The number tells equal pieces apart, so that any number of them is dealt over all shards.
+    cut = pieces(docs, longest=lengths[-1], tokens=tokens, doc_id=doc_id, text=text)
+    cut = staged(cut.withColumn("nth", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-cut.count() // shard_pieces))
 
     def pack(group: pa.Table) -> pa.Table:
@@ -119,57 +123,75 @@ def packed(
         columns.append(pa.array(offsets, pa.int64()))
         return pa.table(columns, names=["doc_id", "piece", "start", "n_tokens", "bin_id", "capacity", "offset"])
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "n_tokens"), F.lit(shards))
     return (
-        cut.withColumn("shard", shard)
+        cut.withColumn("shard", F.pmod(F.xxhash64("nth"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(pack, "doc_id long, piece long, start long, n_tokens long, bin_id long, capacity long, offset long")
     )
 
 
-def sequences(docs: DataFrame, *, separator: str = "\n\n", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def sequences(
+    docs: DataFrame,
+    *,
+    lengths: tuple[int, ...] = LENGTHS,
+    cost: Callable[[int], float] = sequence_cost,
+    shard_pieces: int = SHARD_PIECES,
+    shard_bytes: int = SHARD_BYTES,
+    separator: str = "\n\n",
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
     """One row per sequence: bin_id, capacity, n_tokens, doc_ids, text.
 
-    The pieces of a sequence are joined by `separator` in the order of their offsets; doc_ids has the
-    document of each. White space inside a piece stays as it is. The texts are counted and cut by
-    words. Every row is a document of its own, also one without an id or with an id that others have:
-    rows are told apart by a number that is written with them.
+    Documents are packed where they are read, a shard of up to `shard_pieces` pieces and `shard_bytes` of
+    text at a time, so no text is shuffled or written before the result. The texts are counted and cut by
+    words; the pieces of a sequence are joined by `separator` in the order of their offsets, and doc_ids
+    has the document of each. White space inside a piece stays as it is.
+
+    Every row is a document of its own, also one without an id or with an id that others have. A null or
+    empty text is an end alone. A document longer than a shard is a shard. Other columns are ignored.
+    An empty table gives no sequence.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
-    placed = staged(packed(rows, doc_id="row", **options), "packed")
-    slots = F.collect_list(F.struct("start", "n_tokens", "bin_id", "capacity", "offset")).alias("slots")
-    wanted = placed.groupBy(F.col("doc_id").alias("row")).agg(slots).hint("shuffle_hash")
-    joined = rows.join(wanted, "row").select("doc_id", "text", "slots")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        names = ["bin_id", "capacity", "offset", "n_tokens", "doc_id", "text"]
-        kinds = [pa.int64()] * 5 + [pa.string()]
+    lengths = tuple(sorted(set(lengths)))
+    longest = lengths[-1]
+
+    def cut(own_text: str) -> list[tuple[int, str]]:
+        """Tokens and text of each piece; the end is a token of the last one."""
+        starts = [m.start() for m in _WORD.finditer(own_text)]
+        count = len(starts) + 1
+        if count <= longest:
+            return [(count, own_text)]
+        ends = [starts[k] if k < len(starts) else len(own_text) for k in range(longest, count, longest)] + [len(own_text)]
+        begins = [0, *ends[:-1]]
+        sizes = [min(longest, count - k) for k in range(0, count, longest)]
+        return [(n, own_text[a:b]) for n, a, b in zip(sizes, begins, ends)]
+
+    def pack(shard: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
+        bins, offsets, capacities = best_fit([n for _, n, _ in shard], lengths, cost)
+        own: list[list[int]] = [[] for _ in capacities]
+        for k in sorted(range(len(shard)), key=offsets.__getitem__):
+            own[bins[k]].append(k)
+        columns = [
+            pa.array(capacities, pa.int64()),
+            pa.array([sum(shard[k][1] for k in members) for members in own], pa.int64()),
+            pa.array([[shard[k][0] for k in members] for members in own], pa.list_(pa.int64())),
+            pa.array([separator.join(shard[k][2] for k in members) for members in own], pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["capacity", "n_tokens", "doc_ids", "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, size = [], 0
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                out = []
-                part = batch.slice(first, 512)
-                for own_id, text, slots in zip(*(part.column(k).to_pylist() for k in range(3))):
-                    text = text or ""
-                    starts = [m.start() for m in _WORD.finditer(text)] if any(s["start"] for s in slots) or len(slots) > 1 else []
-                    for s in slots:
-                        a, b = s["start"], s["start"] + s["n_tokens"]
-                        begin = starts[a] if 0 < a < len(starts) else (0 if not a else len(text))
-                        end = starts[b] if b < len(starts) else len(text)
-                        out.append((s["bin_id"], s["capacity"], s["offset"], s["n_tokens"], own_id, text[begin:end]))
-                columns = list(zip(*out)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    own = F.array_sort(F.collect_list(F.struct("offset", "n_tokens", "doc_id", "text")))
-    filled = (
-        joined.mapInArrow(cut, "bin_id long, capacity long, offset long, n_tokens long, doc_id long, text string")
-        .groupBy("bin_id", "capacity")
-        .agg(own.alias("own"))
-    )
-    return filled.select(
-        "bin_id",
-        "capacity",
-        F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x["n_tokens"]).alias("n_tokens"),
-        F.transform("own", lambda x: x["doc_id"]).alias("doc_ids"),
-        F.array_join(F.transform("own", lambda x: x["text"]), separator).alias("text"),
-    )
+            for own_id, own_text in zip(batch.column(0), batch.column(1)):
+                for n, piece in cut(own_text.as_py() or ""):
+                    shard.append((own_id.as_py(), n, piece))
+                    size += len(piece)
+                if len(shard) >= shard_pieces or size >= shard_bytes:
+                    yield pack(shard)
+                    shard, size = [], 0
+        if shard:
+            yield pack(shard)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    packed_rows = rows.mapInArrow(run, "capacity long, n_tokens long, doc_ids array<long>, text string")
+    return packed_rows.select(F.monotonically_increasing_id().alias("bin_id"), "*")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Iterable, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -13,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import map_texts, staged, unstage, without_ids
+from podium.llm.common import ROW, map_texts, numbered, staged, unstage, without_rows
 from podium.llm.components import components
 
 SEED = 42
@@ -27,8 +25,6 @@ _PARTS = ((0, 22), (22, 21), (43, 21))
 BLOCK = 16_384
 # From so many different fingerprints on, anchors cover two parts at once (24 bits instead of 12).
 PAIRS_FROM = 1 << 26
-# Candidates that a node at an anchor is first compared with by its shingles.
-PARTNERS = 16
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -61,16 +57,8 @@ def _majorities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(ones, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
-    """Other hashes of the same shingles (the splitmix64 finaliser; its constants are fixed)."""
-    x = hashes + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def simhashes(texts: list[str | None], size: int, more: int = 0) -> list[np.ndarray]:
-    """The 64-bit SimHash of each text (0 without words), and `more` independent ones."""
+def simhashes(texts: list[str | None], size: int) -> np.ndarray:
+    """The 64-bit SimHash of each text, 0 without words."""
     digest = xxhash.xxh64_intdigest
     hashes, counts = [], []
     for text in texts:
@@ -78,34 +66,32 @@ def simhashes(texts: list[str | None], size: int, more: int = 0) -> list[np.ndar
         hashes.append(np.array(found, dtype="<u8"))
         counts.append(len(found))
     together = np.concatenate(hashes) if hashes else np.empty(0, "<u8")
-    counts = np.array(counts, dtype=np.int64)
-    return [_majorities(_mixed(together, k) if k else together, counts) for k in range(more + 1)]
+    return _majorities(together, np.array(counts, dtype=np.int64))
 
 
 def fingerprint(text: str | None, size: int = 4) -> int:
     """The 64-bit SimHash of one text."""
-    return int(simhashes([text], size)[0][0])
+    return int(simhashes([text], size)[0])
 
 
 def fingerprints(
-    docs: DataFrame, *, size: int = 4, checked: bool = False, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, *, size: int = 4, doc_id: str = "doc_id", text: str = "text", also: Sequence[str] = ()
 ) -> DataFrame:
-    """doc_id and fp (the SimHash as a signed long) of every row, and two more SimHashes.
+    """doc_id and fp (the SimHash as a signed long) of every row, and the columns `also` (long).
 
-    Those are 128 more bits, made of other hashes of the same shingles; 0 unless asked for. A
-    null text has fingerprint 0.
+    A null text has fingerprint 0.
     """
+    names = ["doc_id", "fp", *also]
 
     def run(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            found = simhashes(part.column(1).to_pylist(), size, 2 if checked else 0)
-            found += [np.zeros(part.num_rows, dtype=np.uint64)] * (3 - len(found))
-            fps = [pa.array(x.view(np.int64), pa.int64()) for x in found]
-            yield pa.RecordBatch.from_arrays([part.column(0), *fps], names=["doc_id", "fp", "c1", "c2"])
+            fps = simhashes(part.column(1).to_pylist(), size).view(np.int64)
+            columns = [part.column(0), pa.array(fps, pa.int64()), *part.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_texts(rows, run, "doc_id long, fp long, c1 long, c2 long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *also)
+    return map_texts(rows, run, ", ".join(f"{name} long" for name in names))
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -203,33 +189,6 @@ def _linked(homes: np.ndarray, others: np.ndarray, threshold: int):
     return left[left != right], right[left != right]
 
 
-def _candidates(homes: np.ndarray, others: np.ndarray, check: int, most: int):
-    """Pairs between two blocks of rows (node, root, fp, c1, c2) that have different roots and
-    differ in at most `check` of all bits, and whether there are more.
-
-    A row with more than `most` partners gives those that come first in an order that is the same
-    everywhere, so that the rows of a crowd share their partners.
-    """
-    others = others[:, np.argsort(_mixed(others[0].view(np.uint64), 1), kind="stable")]
-    ids, roots, prints = others[0], others[1], others[2:].view(np.uint64)
-    left, right, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], False
-    rows = max(1, 4_000_000 // max(1, len(ids)))
-    for start in range(0, homes.shape[1], rows):
-        part = homes[:, start : start + rows]
-        bits = np.bitwise_count(part[2].view(np.uint64)[:, None] ^ prints[0][None, :])
-        for k in range(1, len(prints)):
-            bits += np.bitwise_count(part[2 + k].view(np.uint64)[:, None] ^ prints[k][None, :])
-        near = (bits <= check) & (part[1][:, None] != roots[None, :]) & (part[0][:, None] != ids[None, :])
-        crowded = np.flatnonzero(near.sum(axis=1) > most)
-        if len(crowded):
-            more = True
-            near[crowded] &= near[crowded].cumsum(axis=1, dtype=np.int32) <= most
-        a, b = near.nonzero()
-        left.append(part[0][a])
-        right.append(ids[b])
-    return np.concatenate(left), np.concatenate(right), more
-
-
 def _placed(nodes: DataFrame, threshold: int, pairs: bool) -> DataFrame:
     """key, home and the columns of `nodes` (node, fp, ...: long) for each anchor of each fingerprint."""
     if not 0 <= threshold <= 8:
@@ -258,7 +217,7 @@ def _tiles(placed: DataFrame, block: int):
     large = sizes.where(F.greatest("homes", "all") > block).select(
         "key", F.ceil(F.col("homes") / block).alias("down"), F.ceil(F.col("all") / block).alias("across")
     )
-    by = F.xxhash64("fp", *(c for c in columns if c == "c1"))
+    by = F.xxhash64("fp")
     row = F.pmod(by, F.coalesce("down", F.lit(1)))
     column = F.pmod(by, F.coalesce("across", F.lit(1)))
 
@@ -295,119 +254,21 @@ def links(nodes: DataFrame, *, threshold: int = 4, block: int = BLOCK, pairs: bo
     return found
 
 
-def check_bits(similarity: float, bits: int = 128, sigmas: float = 0) -> int:
-    """How many of so many bits differ at most, as expected for texts of that shingle similarity and
-    `sigmas` standard deviations more.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + sigmas * math.sqrt(bits * share * (1 - share)))
-
-
-def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, fp and the hashes of the different shingles of every row (doc_id, text)."""
-
-    def run(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            texts = part.column(1).to_pylist()
-            fps = pa.array(simhashes(texts, size)[0].view(np.int64), pa.int64())
-            sets = [list({xxhash.xxh64_intdigest(x, SEED) for x in shingles(text, size)}) for text in texts]
-            own = [np.array(x, np.uint64).view(np.int64) for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), fps, pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "fp", "shingles"]
-            )
-
-    return map_texts(docs, run, "doc_id long, fp long, shingles array<long>")
+def classes(hashed: DataFrame, *, threshold: int = 4, block: int = BLOCK, pairs_from: int = PAIRS_FROM) -> DataFrame:
+    """fp, class of every different fingerprint of `hashed` (fp: long): the same class for those that links
+    of `threshold` or fewer differing bits connect."""
+    nodes = staged(hashed.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).select(F.col("fp").alias("node"), "fp"), "nodes")
+    linked = links(nodes, threshold=threshold, block=block, pairs=nodes.count() >= pairs_from)
+    found = components(linked)
+    joined = nodes.join(found, nodes["node"] == found["u"], "left")
+    return staged(joined.select("fp", F.coalesce("root", "fp").alias("class")), "classes")
 
 
-def _verified(
-    pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, similarity: float, most_broadcast: int = 1_000_000
-) -> DataFrame:
-    """The pairs (u, v) whose shingle sets have a Jaccard similarity of `similarity` or more."""
-    wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "candidates")
-    hint = "broadcast" if wanted.count() <= most_broadcast else "shuffle_hash"
-    rows = docs.join(wanted.hint(hint), docs["doc_id"] == wanted["node"], "left_semi")
-    own = nodes.select("node", "fp").join(wanted, "node", "left_semi").withColumnRenamed("node", "doc_id")
-    # An id may be repeated with another text: the node's fingerprint tells which text is meant.
-    found = _shingle_sets(rows, size).join(own, ["doc_id", "fp"], "left_semi")
-    sets = staged(
-        found.groupBy(F.col("doc_id").alias("node"), F.xxhash64("shingles").alias("h")).agg(F.any_value("shingles").alias("s")).drop("h"),
-        "shingle-sets",
-    )
-    left, right = sets.toDF("u", "a"), sets.toDF("v", "b")
-    shared = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - F.col("shared")
-    good = pairs.join(left, "u").join(right, "v").withColumn("shared", shared)
-    good = staged(good.where(F.try_divide("shared", union) >= similarity).select("u", "v").distinct(), "similar")
-    for frame in (wanted, sets):
-        unstage(frame)
-    return good
-
-
-def similar_links(
-    nodes: DataFrame,
-    docs: DataFrame,
-    *,
-    size: int,
-    threshold: int,
-    similarity: float,
-    block: int = BLOCK,
-    partners: int = PARTNERS,
-) -> DataFrame:
-    """Links (u, v) that connect all nodes (node, fp, c1, c2) whose texts have so similar shingles.
-
-    Each SimHash is looked up in turn. Nodes that meet at an anchor are candidates if all 192 bits
-    differ by no more than expected at that similarity and four standard deviations; of each
-    candidate pair, the shingle sets are compared (exact Jaccard). A node with more than `partners`
-    candidates at an anchor begins with so many, the same ones as its neighbours; its anchor is then
-    looked at again for the pairs that are not connected yet, with more partners each time, until
-    none is left: a large group is not compared pair by pair, and no pair is skipped.
-    """
-    prints = ["fp", "c1", "c2"]
-    check = check_bits(similarity, BITS * len(prints), 4)
-    columns = ["node", "root", *prints]
-
-    def search(placed: DataFrame, most: int) -> DataFrame:
-        def compare(group: pa.Table) -> pa.Table:
-            u, v, more = _candidates(*_sides(group, columns), check, most)
-            keys = np.zeros(len(u), np.int64)
-            if more:
-                u, v, keys = np.append(u, -1), np.append(v, -1), np.append(keys, group.column("key")[0].as_py())
-            again = pa.array([False] * (len(u) - more) + [True] * more, pa.bool_())
-            return pa.table({"u": pa.array(np.minimum(u, v)), "v": pa.array(np.maximum(u, v)), "key": pa.array(keys), "again": again})
-
-        return staged(_tiles(placed, block).applyInArrow(compare, "u long, v long, key long, again boolean"), "candidate-pairs")
-
-    def crowds(found: DataFrame, placed: DataFrame) -> DataFrame | None:
-        keys = found.where("again").select("key").distinct()
-        if keys.isEmpty():
-            return None
-        return staged(placed.join(keys.hint("broadcast"), "key", "left_semi"), "crowds")  # one row per anchor at most
-
-    found, left = [], []
-    for k in range(len(prints)):
-        turned = nodes.select("node", *(F.col(prints[(k + i) % len(prints)]).alias(name) for i, name in enumerate(prints)))
-        placed = _placed(turned, threshold, pairs=False)
-        found.append(search(placed.withColumn("root", F.col("node")), partners))
-        left.append(crowds(found[-1], placed))
-        unstage(placed)
-    good, most = [], partners
-    while found:
-        pairs = staged(reduce(DataFrame.unionByName, found).where("not again").select("u", "v").distinct(), "pairs")
-        for frame in found:
-            unstage(frame)
-        good.append(_verified(pairs, docs, nodes, size, similarity))
-        unstage(pairs)
-        crowded = [x for x in left if x is not None]
-        found, left, most = [], [], most * 8
-        if crowded:
-            roots = components(reduce(DataFrame.unionByName, good)).select(F.col("u").alias("node"), "root")
-            for placed in crowded:
-                known = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                found.append(search(known, most))
-                left.append(crowds(found[-1], placed))
-                unstage(placed)
-    return reduce(DataFrame.unionByName, good)
+def _joined(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """The second key makes Spark deal both sides anew, so that adaptive execution can split a key of very
+    many rows; what is aggregated by the key alone would be joined where it is."""
+    again = F.hash(key).alias("_again")
+    return rows.select("*", again).join(others.select("*", again), ["_again", key]).drop("_again")
 
 
 def near_duplicates(
@@ -415,7 +276,6 @@ def near_duplicates(
     *,
     size: int = 4,
     threshold: int = 4,
-    similarity: float | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     block: int = BLOCK,
@@ -423,35 +283,37 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, fp (signed long), component_id.
 
-    Fingerprints of `size`-word shingles link at `threshold` or fewer differing bits; component_id
-    is the smallest id reachable over links. With `similarity`, each text has three SimHashes, which
-    only find candidates; texts link if the exact Jaccard similarity of their shingle sets is at least
-    that, see :func:`similar_links`. The threshold is then the reach of the anchors. Copies are one
-    node each, so a group of equal fingerprints of any size is compared once.
+    Fingerprints of `size`-word shingles link at `threshold` or fewer differing bits; component_id is
+    the smallest id reachable over links. Nodes are fingerprints and not ids, so a group of equal ones
+    of any size is compared once, and rows that repeat an id with another text are not taken for linked.
 
-    Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows share
-    their component. A row without an id is in the component of its fingerprint, and makes no links
-    if no row with that fingerprint has an id. Other columns are ignored.
+    Null and empty texts have fingerprint 0 and are linked like any other. A row without an id links
+    like any other; its component's id is that of the rows that have one, null if none has. Very long
+    texts are hashed whole. Other columns are ignored. An empty table gives no row.
     """
-    prints = ["fp", "c1", "c2"]
-    hashed = staged(
-        fingerprints(docs, size=size, checked=similarity is not None, doc_id=doc_id, text=text), "fingerprints"
-    )
-    nodes = staged(hashed.groupBy(*prints).agg(F.min("doc_id").alias("node")), "nodes")
-    known = nodes.where("node is not null")
-    if similarity is None:
-        linked = links(known, threshold=threshold, block=block, pairs=nodes.count() >= pairs_from)
-    else:
-        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-        linked = similar_links(known, rows, size=size, threshold=threshold, similarity=similarity, block=block)
-    found = components(linked)
-    classes = nodes.join(found, nodes["node"] == found["u"], "left").select(
-        *prints, F.coalesce("root", "node").alias("component_id")
-    )
-    return hashed.join(classes, prints).select("doc_id", "fp", "component_id")
-
+    hashed = staged(fingerprints(docs, size=size, doc_id=doc_id, text=text), "fingerprints")
+    known = classes(hashed, threshold=threshold, block=block, pairs_from=pairs_from)
+    smallest = hashed.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    own = staged(known.join(smallest, "fp"), "class-ids")
+    best = own.groupBy("class").agg(F.min("least").alias("component_id"))
+    by_print = _joined(own.select("fp", "class"), best, "class")
+    return _joined(hashed, by_print.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, size: int = 4, threshold: int = 4, doc_id: str = "doc_id", text: str = "text",
+    block: int = BLOCK, pairs_from: int = PAIRS_FROM,
+) -> DataFrame:
+    """`docs` with one document of each component, that of the smallest id, all columns as they are.
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with the document of the smallest id of each component, all columns as they are."""
-    decided = near_duplicates(docs, **options)
-    return without_ids(docs, decided.where("doc_id <> component_id").select("doc_id"), options.get("doc_id", "doc_id"))
+    Rows are told apart by their place: of every component exactly one row stays, whichever ids are null
+    or repeated.
+    """
+    rows = numbered(docs)
+    hashed = staged(fingerprints(rows, size=size, doc_id=doc_id, text=text, also=ROW), "fingerprints")
+    known = classes(hashed, threshold=threshold, block=block, pairs_from=pairs_from)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW).alias("key")
+    placed = staged(_joined(hashed, known, "fp").select("class", *ROW, key), "class-rows")
+    kept = placed.groupBy("class").agg(F.min("key").alias("kept"))
+    gone = _joined(placed, kept, "class").where("key <> kept")
+    return without_rows(rows, gone.select(*ROW))

@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from podium.llm.common import ROW, numbered
 from podium.llm.components import components
 from podium.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from podium.llm.fm_index import FmIndex, WaveletTree
@@ -16,13 +17,10 @@ from podium.llm.simhash import (
     _anchors,
     _near,
     _steps,
-    check_bits,
     drop_near_duplicates,
     fingerprint,
-    fingerprints,
     links,
     near_duplicates,
-    similar_links,
 )
 from podium.llm.substring_dedup import repeated_passages, without_repeats
 
@@ -158,57 +156,60 @@ def test_near_duplicate_rows(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
 
 
-def test_checked_near_duplicates_are_dropped(spark):
+def test_near_duplicates_are_dropped(spark):
     one = words(0, 400)
     docs = documents(spark, [(1, " ".join(one)), (2, " ".join([*one[:399], "z"])), (3, " ".join(words(5000, 300))), (4, None), (5, None)])
-    left = drop_near_duplicates(docs, size=5, threshold=8, similarity=0.8)
+    left = drop_near_duplicates(docs, threshold=4)
     assert left.columns == docs.columns
     assert rows_of(left, "doc_id") == [(1,), (3,), (4,)]
-    assert check_bits(1.0) == 0 < check_bits(0.9) < check_bits(0.8)
-
-
-def jaccard(a, b):
-    a, b = ({tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in (a, b))
-    return len(a & b) / len(a | b)
-
-
-def test_similar_texts_equal_brute_force(spark):
-    """Pairs around the limit: those of a similarity of 0.8 or more link, no others."""
-    chance, rows = random.Random(13), []
-    for i in range(120):
-        n = chance.choice([60, 120, 300])
-        one = words(10_000 * i, n)
-        other = list(one)
-        goal = chance.uniform(0.7, 0.95)
-        while jaccard(" ".join(one), " ".join(other)) > goal:
-            other[chance.randrange(n)] = f"x{chance.getrandbits(40)}"
-        rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(other))]
-    got = near_duplicates(many_partitions(documents(spark, rows)), size=5, threshold=8, similarity=0.8, block=9)
-    found = {r.doc_id: r.component_id for r in got.collect()}
-    for i in range(120):
-        same = jaccard(rows[2 * i][1], rows[2 * i + 1][1]) >= 0.8
-        assert found[2 * i] == 2 * i and found[2 * i + 1] == 2 * i + (not same)
-
-
-def test_crowds_of_similar_texts_equal_brute_force(spark):
-    """More candidates than a node begins with: no pair is skipped, those below the limit stay apart."""
-    chance, base = random.Random(14), words(0, 200)
-    rows = []
-    for i in range(90):
-        own = list(base)
-        for at in chance.sample(range(200), chance.choice([1, 2, 3, 5, 8])):
-            own[at] = f"x{chance.getrandbits(40)}"
-        rows.append((i, " ".join(own)))
+
+
+def awkward_rows():
+    """Ids that are null or repeated, with equal, near and different texts."""
+    texts = [" ".join(words(1000 * k, 60)) for k in range(9)]
+    near_text = texts[0].replace("w5 ", "w5 w5 ")
+    rows = [(3, texts[0]), (5, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[2]), (None, texts[3]), (None, texts[3])]
+    rows += [(None, texts[4]), (None, texts[5]), (8, texts[5]), (8, texts[6]), (8, texts[7]), (9, near_text), (9, texts[8])]
+    return rows + [(10, None), (10, ""), (None, None), (11, "tiny"), (11, "tiny")]
+
+
+@pytest.mark.parametrize("from_files", [False, True])
+def test_dropping_keeps_one_row_of_every_text(spark, tmp_path, from_files):
+    rows = awkward_rows()
     docs = many_partitions(documents(spark, rows))
-    nodes = fingerprints(docs, size=5, checked=True).withColumnRenamed("doc_id", "node")
-    linked = similar_links(nodes, docs.select("doc_id", "text"), size=5, threshold=8, similarity=0.8, partners=2)
-    found = {r.u: r.root for r in components(linked).collect()}
-    expected = {i: i for i, _ in rows}
-    for (i, a), (j, b) in combinations(rows, 2):
-        if jaccard(a, b) >= 0.8 and expected[i] != expected[j]:
-            low, high = sorted((expected[i], expected[j]))
-            expected = {k: low if v == high else v for k, v in expected.items()}
-    assert {i: found.get(i, i) for i, _ in rows} == expected and len(set(expected.values())) > 1
+    if from_files:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    left = drop_exact_duplicates(docs)
+    assert left.columns == docs.columns
+    best = {}
+    for i, text in rows:
+        best[text or ""] = min(best.get(text or "", (True, None)), (i is None, i), key=lambda x: (x[0], x[1] or 0))
+    assert sorted(((r.doc_id, r.text or "") for r in left.collect()), key=str) == sorted(((i, t) for t, (_, i) in best.items()), key=str)
+
+    near = drop_near_duplicates(docs)
+    classes = brute_components({k: fingerprint(t, 4) for k, (_, t) in enumerate(rows)}, 4)
+    members = {}
+    for k, c in classes.items():
+        members.setdefault(c, []).append(k)
+    got = sorted(((r.doc_id, r.text or "") for r in near.collect()), key=str)
+    assert len(got) == len(members)
+    for own in members.values():
+        ids = [rows[k][0] for k in own if rows[k][0] is not None]
+        allowed = {(rows[k][0], rows[k][1] or "") for k in own if rows[k][0] == min(ids, default=None)}
+        assert len(allowed & set(got)) == 1
+
+
+def test_rows_of_files_are_numbered_where_they_lie(spark, tmp_path):
+    docs = many_partitions(documents(spark, [(i, f"t{i % 7}") for i in range(50)]))
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs")).where("doc_id > 3").select("doc_id", "text")
+    left = drop_exact_duplicates(docs)
+    assert rows_of(left, "doc_id", "text") == sorted([(i, f"t{i % 7}") for i in range(4, 11)], key=str)
+    twice = numbered(docs.join(docs.select("doc_id").limit(20).unionByName(docs.select("doc_id").limit(20)), "doc_id"))
+    assert twice.select(*ROW).distinct().count() == twice.count()
+    assert "_metadata" in numbered(docs)._jdf.queryExecution().analyzed().toString()
+    assert numbered(docs).select(*ROW).distinct().count() == 46
 
 
 def test_components_of_chains_stars_and_loops(spark):
