@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +15,8 @@ from podium.checks.database import database, fresh_table
 from podium.functions import as_double, as_int, clean_text, parse_born
 from podium.operators import (
     StatsSpec,
+    along_curve,
+    as_of,
     clean_strings,
     deduplicate,
     hot_keys,
@@ -21,25 +24,47 @@ from podium.operators import (
     latest_per_key,
     numeric_rows,
     parse_messages,
+    parse_variants,
     plan_bytes,
     reference_stats,
     to_messages,
+    variant_fields,
 )
 from podium.plans import (
     FileTopic,
+    bronze_to_silver,
+    gold_averages,
     landing_to_bronze,
+    load_increment,
+    load_silver,
     publish_table,
     read_stats,
     round_trip_stats,
     run_lake,
+    silver_by_key,
+    silver_rows,
+    silver_to_gold,
     stream_fan_out,
     stream_stats,
 )
+from podium.plans.incremental import BUCKET
 from podium.session import scratch_dir
-from podium.sinks import create_jdbc_table, files_writer, jdbc_writer, write_jdbc
-from podium.sources import empty_like, key_range, read_jdbc, read_layer
+from podium.sinks import (
+    Ledger,
+    committed,
+    create_jdbc_table,
+    files_writer,
+    jdbc_writer,
+    merge_writer,
+    once,
+    table_writer,
+    write_jdbc,
+    write_layer,
+)
+from podium.sources import empty_like, key_range, quantile_predicates, read_jdbc, read_layer
 from podium.streaming import (
     UNTIL_CAUGHT_UP,
+    FoldedHistory,
     read_history,
     run_number,
     snapshot,
@@ -47,6 +72,7 @@ from podium.streaming import (
     stream_table,
     windowed_averages,
 )
+from podium.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -558,3 +584,242 @@ def q_stream_windowed(spark: SparkSession, folder: str) -> DataFrame:
     return read_history(spark, out).select(
         F.col("w_start").cast("timestamp_ntz").alias("w_start"), "event_type", "n", "avg_value"
     )
+
+
+# Tables in versions, loads and deliveries that are repeated
+
+GOLD_SPEC = StatsSpec(
+    key="custkey",
+    group_by=("o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey"),
+    averages={"avg_weight": "c_acctbal", "avg_height": "o_totalprice"},
+    measure_type="float",
+    scale=2,
+    reference_first=True,
+)
+
+
+@_query
+def q_versioned_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """A layer whose next write fails in the middle, then one that is replaced by a part of itself."""
+    lake, orders = scratch_dir(spark, "lake"), _table(spark, folder, "orders")
+    write_layer(orders, lake, "bronze", "orders", versions=True)
+    broken = orders.withColumn(
+        "o_orderkey", F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("o_orderkey"))
+    )
+    try:
+        write_layer(broken, lake, "bronze", "orders", versions=True)
+    except PySparkException:
+        pass  # as meant: the layer is what it was
+    old = read_layer(spark, lake, "bronze", "orders")
+    write_layer(old.where(F.col("o_orderkey") % 2 == 0), lake, "bronze", "orders", versions=True)
+    return read_layer(spark, lake, "bronze", "orders").unionByName(old)
+
+
+@_query
+def q_lake_in_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole lake twice: the second run finds half of the orders more."""
+    landing, lake = scratch_dir(spark, "landing"), scratch_dir(spark, "lake")
+    customers, orders = _customers(spark, folder), _orders(spark, folder)
+    customers.write.option("header", True).csv(f"{landing}/customer.csv")
+    for part in (orders.where(F.col("o_orderkey") % 2 == 0), orders):
+        part.write.mode("overwrite").option("header", True).csv(f"{landing}/orders.csv")
+        run_lake(spark, landing, lake, GOLD_SPEC, ["customer", "orders"], versions=True)
+    return read_layer(spark, lake, "gold", "avg_stats").withColumn("c_nationkey", as_int("c_nationkey"))
+
+
+@_query
+def q_incremental_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads that overlap, and one that is repeated."""
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_custkey")
+    silver = VersionedTable(spark, scratch_dir(spark, "silver"), BUCKET)
+    for load, rest in enumerate((0, 1, 1, 2)):
+        rows = orders.where(F.col("o_orderkey") % 4 != rest).drop("o_orderkey")
+        load_silver(rows, silver, min(load, 2))
+    load_silver(orders.where(F.col("o_orderkey") % 4 == 2).drop("o_orderkey"), silver, 3)
+    return silver_rows(silver.read())
+
+
+@_query
+def q_incremental_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads of orders and customers; customers also come after their orders."""
+    silver = [VersionedTable(spark, scratch_dir(spark, "silver"), BUCKET) for _ in range(2)]
+    state = VersionedTable(spark, scratch_dir(spark, "gold"), BUCKET)
+    customers = _customers(spark, folder).select("custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    orders = _orders(spark, folder).drop("o_orderdate")
+    for load in range(3):
+        bronze = (
+            customers.where(F.pmod(F.xxhash64("custkey"), F.lit(3)) == load),
+            orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == load),
+        )
+        load_increment(bronze, silver, state, load, GOLD_SPEC)
+    return gold_averages(state, GOLD_SPEC)
+
+
+@_query
+def q_gold_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The gold join over silver tables in buckets by key."""
+    lake = scratch_dir(spark, "lake")
+    for name, rows in (("customer", _customers(spark, folder)), ("orders", _orders(spark, folder).drop("o_orderdate"))):
+        write_layer(rows, lake, "bronze", name)
+    bronze_to_silver(spark, lake, ["customer", "orders"])
+    # A database of its own, so that runs do not share tables; its tables lie in the lake.
+    database = f"podium_{lake.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    tables = silver_by_key(spark, lake, "custkey", 8, ["customer", "orders"], database)
+    gold = silver_to_gold(spark, lake, GOLD_SPEC, gold_table="stats", silver=[t.hint("merge") for t in tables])
+    return spark.read.parquet(gold)
+
+
+class _Unsteady:
+    """A sink that takes a batch and then fails, once for each of the given batches."""
+
+    def __init__(self, write: Any, *batches: int) -> None:
+        self.write, self.left = write, set(batches)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.write(batch, batch_id)
+        if batch_id in self.left:
+            self.left.discard(batch_id)
+            raise RuntimeError(f"sink failed after batch {batch_id}")
+
+
+def _until_done(start: Callable[[], StreamingQuery]) -> None:
+    """Start a query again until it ends well."""
+    for _ in range(10):
+        try:
+            start().awaitTermination()
+            return
+        except PySparkException:
+            pass  # a sink failed; its batch comes again
+    raise RuntimeError("the query does not end well")
+
+
+@_query
+def q_stream_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Three sinks, two of which fail after taking a batch: an append-only one and a table."""
+    events = _table(spark, folder, "events")
+    topic = FileTopic(scratch_dir(spark, "topic"))
+    topic.publish(events, max_per_file=max(1, events.count() // 4 + 1))
+    ledger, out = Ledger(spark, scratch_dir(spark, "ledger")), scratch_dir(spark, "out")
+    checkpoint, first = scratch_dir(spark, "checkpoint"), VersionedTable(spark, scratch_dir(spark, "table"))
+    appending = _Unsteady(lambda batch, batch_id: batch.write.mode("append").parquet(out), 0, 2)
+    table = _Unsteady(table_writer(first, "events"), 1)
+    writers = [once(appending, ledger, "files"), table]
+    stream = topic.stream(spark, maxBytesPerTrigger=_batch_bytes(topic.batch(spark)))
+    _until_done(lambda: stream_fan_out(stream, writers, checkpoint, EVENT, trigger=UNTIL_CAUGHT_UP))
+    ledger.fold()
+    sinks = {"files": committed(spark.read.parquet(out), ledger, "files"), "table": first.read()}
+    parts = [rows.select(F.lit(name).alias("sink"), *events.columns) for name, rows in sinks.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@_query
+def q_stream_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Running averages merged into a table by group, while the sink fails now and then."""
+    table = VersionedTable(spark, scratch_dir(spark, "table"), "bucket")
+    write = _Unsteady(merge_writer(table, list(EVENT_STATS.group_by), "stats", 4), 0, 1)
+    events, customers = _table(spark, folder, "events"), _customers(spark, folder, "user_id")
+    customers = snapshot(customers, scratch_dir(spark, "snapshot"))
+    topic, checkpoint = FileTopic(scratch_dir(spark, "topic")), scratch_dir(spark, "checkpoint")
+    topic.publish(events, "user_id", max_per_file=max(1, events.count() // 4 + 1))
+    stream = topic.stream(spark, maxBytesPerTrigger=_batch_bytes(topic.batch(spark)))
+    _until_done(lambda: stream_stats(stream, customers, [write], checkpoint, EVENT_STATS, EVENT, UNTIL_CAUGHT_UP))
+    return table.read().drop("bucket")
+
+
+@_query
+def q_folded_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into one history, which is folded after the first batch, after the first run, and later."""
+    out = scratch_dir(spark, "out")
+    folded = FoldedHistory(spark, out, scratch_dir(spark, "base"), EVENT_STATS.group_by)
+    events, customers = _table(spark, folder, "events"), _customers(spark, folder, "user_id")
+    customers = snapshot(customers, scratch_dir(spark, "snapshot"))
+    runs = []
+
+    def writers(run: int) -> list[Any]:
+        runs.append(run)
+        return [files_writer(out, run)]
+
+    for part in (events.where(F.col("event_id") % 2 == 0), events):
+        _start_event_stats(spark, part, customers, writers).awaitTermination()
+        folded.fold((runs[-1], 0))
+        if len(runs) == 1:
+            folded.fold(forget=True)
+    return folded.read().drop("run", "batch_id")
+
+
+# Layout, versions of the reference table, payloads without a schema, late rows
+
+
+@_query
+def q_along_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items laid out by two columns, and a filter on both."""
+    path = scratch_dir(spark, "curve")
+    items = _table(spark, folder, "lineitem")
+    along_curve(items, ["l_partkey", "l_suppkey"], 64).write.parquet(path)
+    low = items.agg(F.max("l_partkey"), F.max("l_suppkey")).first()
+    near = (F.col("l_partkey") <= low[0] // 8) & (F.col("l_suppkey") <= low[1] // 8)
+    return spark.read.parquet(path).where(near).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@_query
+def q_even_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges with equally many rows of a column that lies close together: every row is in one of them."""
+    events = _table(spark, folder, "events").select("event_id", "user_id")
+    key = F.when(F.col("event_id") % 10 > 0, F.col("user_id") % 100).otherwise(F.col("user_id") * 1000)
+    rows = events.withColumn("key", F.when(F.col("event_id") % 97 > 0, key))
+    ranges = quantile_predicates(rows, "key", 16, "`")
+    numbered = [rows.where(text).withColumn("range", F.lit(k)) for k, text in enumerate(ranges)]
+    whole = numbered[0]
+    for part in numbered[1:]:
+        whole = whole.unionByName(part)
+    return whole.select("event_id", "key")
+
+
+@_query
+def q_reference_by_version(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third customer changes its segment in the middle of the events."""
+    events = _table(spark, folder, "events").select("event_id", "user_id", "ts")
+    middle = events.agg(F.min("ts"), F.expr("timestampdiff(MICROSECOND, min(ts), max(ts)) div 2")).first()
+    change = F.lit(middle[0]).cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(middle[1]) / 1_000_000)
+    customers = _customers(spark, folder, "user_id").select("user_id", "c_mktsegment")
+    since = customers.withColumn("since", F.lit(None).cast("timestamp_ntz"))
+    moved = customers.where(F.col("user_id") % 3 == 0).select(
+        "user_id", F.concat(F.lit("NEW "), "c_mktsegment").alias("c_mktsegment"), change.alias("since")
+    )
+    return as_of(events, since.unionByName(moved), "user_id", "ts", "since").drop("ts")
+
+
+@_query
+def q_unknown_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that no schema names, of different types from message to message."""
+    payload = (
+        F.when(F.col("event_type") == "error", F.col("event_type"))
+        .when(F.col("event_type") == "purchase", F.lit('{"k": "none", "more": {"n": [4, 5]}}'))
+        .otherwise(F.col("props"))
+    )
+    messages = _table(spark, folder, "events").select("event_id", payload.alias("value"))
+    fields = {"k": ("$.k", "int"), "k_text": ("$.k", "string"), "n": ("$.more.n[1]", "bigint")}
+    return variant_fields(parse_variants(messages, carry=["event_id"]), fields)
+
+
+@_query
+def q_stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows over events that come in four parts by time, each in micro-batches of its own; some rows of
+    the first part come with the last one, when their windows are closed."""
+    events = _table(spark, folder, "events")
+    first, span = events.agg(F.min("ts"), F.expr("timestampdiff(MICROSECOND, min(ts), max(ts))")).first()
+    since = F.timestamp_diff("MICROSECOND", F.lit(first).cast("timestamp_ntz"), F.col("ts"))
+    part = F.floor(since * 4 / F.lit(span + 1))
+    late = (part == 0) & (F.col("event_id") % 20 == 0)
+    source, out, checkpoint = (scratch_dir(spark, name) for name in ("parts", "out", "checkpoint"))
+    dealt = events.withColumn("part", F.when(late, 3).otherwise(part))
+    for k in range(4):
+        dealt.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{source}/events.parquet")
+        windows = windowed_averages(
+            stream_table(spark, source, "events", events.schema), "ts", ["event_type"], {"avg_value": "value"}, scale=3, rows="n"
+        )
+        start_fan_out(windows, [files_writer(out)], checkpoint, "append", UNTIL_CAUGHT_UP).awaitTermination()
+    return read_history(spark, out).select(
+        F.col("w_start").cast("timestamp_ntz").alias("w_start"), "event_type", "n", "avg_value"
+    )

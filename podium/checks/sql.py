@@ -23,6 +23,20 @@ FROM events JOIN customer ON user_id = c_custkey
 GROUP BY event_type, c_mktsegment
 """
 
+def _gold(balance: str) -> str:
+    return f"""
+        SELECT {_cleaned("o_orderpriority")} AS o_orderpriority, {_cleaned("o_orderstatus")} AS o_orderstatus,
+               {_cleaned("c_mktsegment")} AS c_mktsegment, c_nationkey,
+               {_rounded(f"avg(CAST({balance} AS FLOAT))", 2)} AS avg_weight,
+               {_rounded("avg(CAST(o_totalprice AS FLOAT))", 2)} AS avg_height
+        FROM customer JOIN orders ON c_custkey = o_custkey
+        GROUP BY ALL
+    """
+
+
+# Text loses its minus signs when it is cleaned, numbers do not.
+_GOLD_OF_TEXT, _GOLD_OF_CLEANED = _gold("abs(c_acctbal)"), _gold("c_acctbal")
+
 SQL: dict[str, str] = {
     "q_gold_avg_stats": f"""
         SELECT o_orderpriority, o_orderstatus, c_mktsegment, c_nationkey,
@@ -184,4 +198,62 @@ SQL: dict[str, str] = {
         GROUP BY date_trunc('hour', ts), event_type
         HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= max(wm)
     """,
+    "q_versioned_layer": """
+        SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 2 = 0
+    """,
+    "q_lake_in_versions": _GOLD_OF_TEXT,
+    "q_incremental_silver": f"""
+        SELECT DISTINCT {_cleaned("o_orderpriority")} AS o_orderpriority,
+               {_cleaned("o_orderstatus")} AS o_orderstatus, o_custkey
+        FROM orders
+    """,
+    "q_incremental_gold": _GOLD_OF_CLEANED,
+    "q_gold_by_key": _GOLD_OF_CLEANED,
+    "q_stream_once": """
+        SELECT sink, events.* REPLACE (date_trunc('millisecond', ts) AS ts)
+        FROM events CROSS JOIN (VALUES ('files'), ('table')) AS sinks(sink)
+    """,
+    "q_stream_merged": _EVENT_STATS,
+    "q_folded_history": _EVENT_STATS,
+    "q_along_curve": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+        WHERE l_partkey <= (SELECT max(l_partkey) // 8 FROM lineitem)
+          AND l_suppkey <= (SELECT max(l_suppkey) // 8 FROM lineitem)
+    """,
+    "q_even_ranges": """
+        SELECT event_id, CASE WHEN event_id % 97 = 0 THEN NULL
+                              WHEN event_id % 10 > 0 THEN user_id % 100 ELSE user_id * 1000 END AS key
+        FROM events
+    """,
+    "q_reference_by_version": """
+        WITH middle AS (
+            SELECT min(ts) + to_microseconds(datediff('microsecond', min(ts), max(ts)) // 2) AS changed FROM events
+        )
+        SELECT event_id, user_id,
+               CASE WHEN user_id % 3 = 0 AND ts >= changed THEN 'NEW ' || c_mktsegment ELSE c_mktsegment END AS c_mktsegment
+        FROM events JOIN customer ON user_id = c_custkey, middle
+    """,
+    "q_unknown_payload": """
+        SELECT event_id,
+               CASE WHEN event_type NOT IN ('error', 'purchase')
+                    THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+               CASE event_type WHEN 'error' THEN NULL WHEN 'purchase' THEN 'none'
+                    ELSE json_extract_string(props, '$.k') END AS k_text,
+               CASE WHEN event_type = 'purchase' THEN 5 END AS n
+        FROM events
+    """,
+    # Late rows are dropped; windows that are still open at the final watermark are not emitted.
+    "q_stream_late_rows": f"""
+        WITH ends AS (SELECT min(ts) AS first, max(ts) AS last FROM events),
+        timed AS (
+            SELECT *, datediff('microsecond', first, ts) * 4 // (datediff('microsecond', first, last) + 1) AS part
+            FROM events, ends
+        )
+        SELECT date_trunc('hour', ts) AS w_start, event_type, count(*) AS n,
+               {_rounded("avg(value)", 3)} AS avg_value
+        FROM timed
+        WHERE NOT (part = 0 AND event_id % 20 = 0)
+        GROUP BY date_trunc('hour', ts), event_type
+        HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= max(last) - INTERVAL 10 MINUTE
+    """,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,3 +64,36 @@ def observe_bad(parsed: DataFrame, bad_record: str, name: str = "messages") -> D
         F.count(F.lit(1)).alias("rows"),
         F.count(column(bad_record)).alias("bad"),
     )
+
+
+def parse_variants(
+    messages: DataFrame, name: str = "payload", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Each message's `value` as a VARIANT in the column `name`, preceded by the columns in `carry`.
+
+    For payloads that no schema describes: any JSON is kept, whatever its fields and types, in a binary
+    form that is parsed once and read by path. Text that is no JSON gives null.
+    """
+    payload = F.try_parse_json(column("value").cast("string")).alias(name)
+    return messages.select(*[column(c) for c in carry], payload)
+
+
+def variant_fields(
+    df: DataFrame, fields: Mapping[str, tuple[str, str]], name: str = "payload"
+) -> DataFrame:
+    """`df` with fields out of the VARIANT column `name`, which goes: name of the new column to path
+    (``$.a.b[0]``) and type.
+
+    A field that is missing, or not convertible to the type, is null in that row only.
+    """
+    found = {new: F.try_variant_get(column(name), path, to) for new, (path, to) in fields.items()}
+    return df.withColumns(found).drop(name)
+
+
+def payload_schema(messages: DataFrame) -> str:
+    """The schema that all messages together have, as Spark writes it: ``OBJECT<a: BIGINT, ...>``.
+
+    One aggregation, combined in every task. A field whose types do not go together is a VARIANT.
+    """
+    payload = F.try_parse_json(column("value").cast("string"))
+    return messages.agg(F.schema_of_variant_agg(payload)).first()[0]

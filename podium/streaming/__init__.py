@@ -1,5 +1,6 @@
 """What only exists on a stream."""
 
+from podium.streaming.folds import FoldedHistory
 from podium.streaming.start import (
     BYTES_PER_TASK,
     EVERY_10_SECONDS,
@@ -14,6 +15,7 @@ from podium.streaming.windows import windowed_averages
 __all__ = [
     "BYTES_PER_TASK",
     "EVERY_10_SECONDS",
+    "FoldedHistory",
     "UNTIL_CAUGHT_UP",
     "bucketed_snapshot",
     "read_history",
