@@ -52,6 +52,21 @@ def unstage(frame: DataFrame | None) -> None:
         delete(frame.sparkSession, folder)
 
 
+def is_small(keys: DataFrame, most_bytes: int) -> bool:
+    """Whether the rows of a staged frame of numbers, texts and bytes take no more than so many bytes."""
+    sizes = [
+        F.coalesce(F.octet_length(name), F.lit(0)) + 24 if kind in ("string", "binary") else F.lit(8)
+        for name, kind in keys.dtypes
+    ]
+    total = keys.agg(F.sum(sum(sizes, F.lit(16)).cast("long"))).first()[0]
+    return (total or 0) <= most_bytes
+
+
+def hinted(keys: DataFrame, most_bytes: int) -> DataFrame:
+    """`keys` to be sent to all executors if they are small, else to be joined by a shuffle."""
+    return keys.hint("broadcast" if is_small(keys, most_bytes) else "shuffle_hash")
+
+
 def held_out(doc_id: str | Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id's text leaves `remainder`; a null id never does."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -49,19 +49,28 @@ _MARKS = re.compile(
 _HEADERS = re.compile(r"(?:^|[^a-z])header(?![a-z])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SIGMA = 1.0
-# Part of the content's characters that article and main elements have to hold to be narrowed down to.
-_SHARE = 0.8
 _LINES = 3
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Elements that are a block of text themselves: a mark on one says less than its text does.
+_TEXTS = _HEADINGS | {"p", "blockquote", "pre", "li", "dt", "dd", "figcaption", "caption"}
 
 
 class _Lines(HTMLParser):
-    """Turns parser events into lines: text, characters in links, tags, element, in or out."""
+    """Turns parser events into lines: text, characters in links, tags, element, out by kind, by mark, or
+    perhaps by mark.
+
+    No step looks through the open elements: the places of each name are kept, so the work is in
+    proportion to the page, however deep and broken its markup is.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parents, self.names = [-1], ["#page"]
         # Open elements: number, name, whether its text is out by kind or by mark, inside an article.
-        self.open = [(0, "#page", False, False, False)]
+        self.open = [(0, "#page", False, False, False, False)]
+        # Places in that list by name, and those of blocks whose text is out.
+        self.places: dict[str, list[int]] = {}
+        self.out_blocks: list[int] = []
         self.lines: list[tuple] = []
         self.text: list[str] = []
         self.linked, self.tags, self.links = 0, 0, 0
@@ -69,18 +78,25 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, _, dropped, marked, _ = self.open[-1]
-            self.lines.append((text, self.linked, max(1, self.tags), self.open[-1][0], dropped, marked))
+            _, _, dropped, marked, _, doubted = self.open[-1]
+            self.lines.append((text, self.linked, max(1, self.tags), self.open[-1][0], dropped, marked, doubted))
             self.tags = 0
         self.text, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
         # A table's cells are one line, but for one that is out.
-        if any(name in _BLOCKS or name in _CELLS and marked for _, name, _, marked, _ in self.open[depth:]):
+        if any(name in _BLOCKS or name in _CELLS and marked for _, name, _, marked, *_ in self.open[depth:]):
             self.flush()
         for _, name, *_ in self.open[depth:]:
             self.links -= name == "a"
+            self.places[name].pop()
         del self.open[depth:]
+        while self.out_blocks and self.out_blocks[-1] >= depth:
+            self.out_blocks.pop()
+
+    def last(self, names: Iterable[str]) -> int:
+        """Where the innermost open element of these names is, 0 if there is none."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=0)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -92,33 +108,29 @@ class _Lines(HTMLParser):
             if tag in _BLOCKS:
                 self.flush()
             return
-        names = [name for _, name, *_ in self.open]
         if tag in _BLOCKS:
-            if "p" in names:  # a paragraph ends where a block begins
-                self.close_to(len(names) - 1 - names[::-1].index("p"))
+            if depth := self.last(("p",)):  # a paragraph ends where a block begins
+                self.close_to(depth)
             self.flush()
         if tag in _SIBLINGS:
             same, stop = _SIBLINGS[tag]
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth][1] in stop:
-                    break
-                if self.open[depth][1] in same:
-                    self.close_to(depth)
-                    break
-        if tag in _ARTICLE and not self.open[-1][4]:
+            if (depth := self.last(same)) > self.last(stop):
+                self.close_to(depth)
+        if tag in _ARTICLE and not self.open[-1][4] and self.out_blocks:
             # An article does not begin inside a menu: that was left open.
-            for depth in range(1, len(self.open)):
-                if self.open[depth][2] and self.open[depth][1] in _BLOCKS:
-                    self.close_to(depth)
-                    break
-        _, _, dropped, marked, inside = self.open[-1]
+            self.close_to(self.out_blocks[0])
+        _, _, dropped, marked, inside, doubted = self.open[-1]
         outside = not marked
         here = dict(attrs)
         words = _CAMEL.sub("-", " ".join(here.get(key) or "" for key in ("class", "id", "role"))).lower()
         if tag in _ARTICLE and not inside:
             inside, marked = True, False
         elif tag not in ("html", "body"):
-            marked = marked or bool(_MARKS.search(words)) or (not inside and bool(_HEADERS.search(words)))
+            here_marked = bool(_MARKS.search(words)) or (not inside and bool(_HEADERS.search(words)))
+            if tag in _TEXTS and inside:
+                doubted = doubted or here_marked
+            else:
+                marked = marked or here_marked
         gone = "hidden" in here or here.get("aria-hidden") == "true" or "display:none" in (here.get("style") or "").replace(" ", "")
         dropped = dropped or tag in _DROPPED or gone or (tag == "header" and not inside)
         if marked and outside and tag not in _BLOCKS:
@@ -129,18 +141,19 @@ class _Lines(HTMLParser):
         self.links += tag == "a"
         self.parents.append(self.open[-1][0])
         self.names.append(tag)
-        self.open.append((len(self.names) - 1, tag, dropped, marked, inside))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if dropped and tag in _BLOCKS:
+            self.out_blocks.append(len(self.open))
+        self.open.append((len(self.names) - 1, tag, dropped, marked, inside, doubted))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][1] == tag:
-                self.close_to(depth)
-                return
-        if tag == "p":
+        if depth := self.last((tag,)):
+            self.close_to(depth)
+        elif tag == "p":
             self.flush()
 
     def handle_data(self, data: str) -> None:
@@ -186,39 +199,44 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         return ""
     chars = np.array([len(text) - min(linked, len(text)) for text, linked, *_ in lines], dtype=float)
     tags = np.array([line[2] for line in lines], dtype=float)
-    ratio = _smoothed(np.log1p(chars / tags), sigma)
+    plain = np.log1p(chars / tags)
+    ratio = _smoothed(plain, sigma)
     limit = _threshold(ratio)
     content = ratio >= limit
-    # The region: the article and main elements as a whole, if they hold most of the content's
-    # characters; else the innermost container that holds all lines of the content. One that is not
-    # named an article has to have several lines: a long paragraph is not a region.
+    # A line that its neighbours alone lift into the upper cluster does not stand for itself.
+    alone = content & (plain >= limit)
+    # The region: the article and main elements, if they hold most of the content's characters; else the
+    # innermost container of several lines that does: a long paragraph is not a region.
     parents = parser.parents
-    held, chosen, plain, count = (np.zeros(len(parser.names)) for _ in range(4))
-    for k in range(len(lines)):
-        held[lines[k][3]] += chars[k] * content[k]
-        chosen[lines[k][3]] += content[k]
-        plain[lines[k][3]] += chars[k]
-        count[lines[k][3]] += 1
+    held, count = np.zeros(len(parser.names)), np.zeros(len(parser.names))
+    elements = [line[3] for line in lines]
+    np.add.at(held, elements, chars * content)
+    np.add.at(count, elements, 1)
     for e in range(len(held) - 1, 0, -1):
-        for sums in (held, chosen, plain, count):
-            sums[parents[e]] += sums[e]
+        held[parents[e]] += held[e]
+        count[parents[e]] += count[e]
     within = np.zeros(len(held), dtype=bool)
     for e in range(1, len(held)):
         within[e] = within[parents[e]] or parser.names[e] in _ARTICLE
-    tops = [e for e in range(1, len(held)) if within[e] and not within[parents[e]] and plain[e]]
-    regions = [0]
-    if tops and held[tops].sum() >= _SHARE * held[0]:
-        regions = tops
-    else:
-        # All of the content is inside, so these are nested; inner ones come later.
+    tops = [e for e in range(1, len(held)) if within[e] and not within[parents[e]]]
+    article = bool(tops) and 2 * held[tops].sum() > held[0]
+    regions = tops if article else [0]
+    if not article:
+        # Each holds more than half, so these are nested; inner ones come later.
         for e in range(1, len(held)):
-            if chosen[e] == chosen[0] and count[e] >= _LINES and parser.names[e] in _CONTAINERS and not within[e]:
+            if 2 * held[e] > held[0] and count[e] >= _LINES and parser.names[e] in _CONTAINERS:
                 regions = [e]
     inside = np.zeros(len(held), dtype=bool)
     inside[regions] = True
     for e in range(1, len(held)):
         inside[e] |= inside[parents[e]]
     own = np.array([inside[line[3]] for line in lines])
+    if not article:
+        # Outside the region the clusters decide, and headings go with what they stand above.
+        own |= alone
+        for k in range(len(lines) - 2, -1, -1):
+            own[k] |= own[k + 1] and parser.names[lines[k][3]] in _HEADINGS
+    own &= (plain >= limit) | ~np.array([line[6] for line in lines])
     # Lists of links are menus, named or not: lines of hardly anything but links, two or more in a
     # row, in a part of the page with little text.
     menu = (chars <= 0.1 * np.array([len(line[0]) for line in lines])) & ~content
@@ -234,12 +252,18 @@ def extract_pages(
 
     A page is read once, as a stream of parser events that makes one line of each block. Each line
     has a text-to-tag ratio (characters outside links, per tag); the ratios are smoothed with a
-    Gaussian and parted into two clusters. The text is that of the article and main elements, if
-    they hold most of the upper cluster, or else of the innermost container that holds all of it: all
-    of its blocks in page order, short ones too, but for elements that are never an article's (menus, forms, ...) or are named like it, and runs of links.
+    Gaussian and parted into two clusters. The region is the article and main elements, if they hold
+    most characters of the upper cluster, or else the innermost container of several lines that does. The
+    text is that of all blocks of the region in page order, short ones too. Outside an article's region
+    nothing is kept; outside a container's, lines that belong to the upper cluster by themselves, and
+    headings above kept lines, are. Elements that
+    are never an article's (menus, forms, ...) or that hold blocks and are named like them are left out,
+    and so are runs of links. A paragraph of an article that is so named is left out if its own ratio is
+    in the lower cluster.
 
-    A null or empty page, and one without an article, has an empty text. Repeated rows give equal
-    results. Other columns are ignored.
+    A null or empty page, and one without text, has an empty text. Very long and deeply nested or broken
+    pages are read in time proportional to their length. Repeated rows give equal results. Other columns
+    are ignored. An empty table gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

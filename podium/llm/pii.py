@@ -5,11 +5,13 @@ Only built-in expressions run on the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from podium.llm.common import staged
+from podium.llm.common import hinted, is_small, staged, unstage
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -30,6 +32,15 @@ _TERMS = r"\p{L}[\p{L}\p{M}'’-]+"
 DISCLOSURE = 0.8
 # ... by a smoothed estimate: as if so many more documents had the term, and the value as often as others.
 SMOOTHING = 2.0
+# How many terms may be taken for revealing by chance alone, in all of a corpus.
+CHANCE = 0.05
+# Keys of so many bytes at most are sent to all executors; more are joined by a shuffle.
+MOST_BYTES = 32 << 20
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def _located(text: Column, kind: str) -> Column:
@@ -76,7 +87,7 @@ def personal_values(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), content.alias("text"))
     found = F.concat(*(F.coalesce(_located(F.col("text"), kind), F.array()) for kind in KINDS))
-    hits = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(found).alias("hit")).select(
+    hits = rows.select("doc_id", text_key(F.col("text")).alias("text_hash"), F.explode(found).alias("hit")).select(
         "doc_id", "text_hash", "hit.*"
     )
     # Rows that repeat an id and a text have the same matches.
@@ -125,65 +136,99 @@ def _places(texts: DataFrame) -> DataFrame:
     return rows.select("text_hash", F.lower("value").alias("term"), (end - width).alias("start"), end.alias("end"))
 
 
-def _hint(frame: DataFrame, most_broadcast: int) -> DataFrame:
-    return frame.hint("broadcast" if frame.count() <= most_broadcast else "shuffle_hash")
-
-
-def revealing_spans(
+def revealing_terms(
     docs: DataFrame,
     values: DataFrame,
     *,
     disclosure: float = DISCLOSURE,
     smoothing: float = SMOOTHING,
+    chance: float = CHANCE,
     text: str = "text",
-    most_broadcast: int = 1_000_000,
-) -> DataFrame:
-    """text_hash, start, end of the terms that give a protected value of their text away.
-
-    Over all documents, the information that a term t gives about a value c is their pointwise
-    mutual information, log N n(t, c) / (n(t) n(c)), and c's own information is log N / n(c), where
-    n counts documents, whatever the distance of t and c in them. A term whose share of it reaches
-    `disclosure` is revealing: it almost never occurs in documents without the value. It is marked
-    wherever it occurs in a document that holds the value. No number of texts is asked for, so values
-    that occur once count too; n(t) is smoothed by `smoothing` documents that hold c as often as any.
+    most_bytes: int = MOST_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """text_hash, term of the terms that give protected values of their text away; and the texts.
+
+    Protected is a value, and the having of a value of some kind. Values that the same texts hold are
+    one class, as no term tells them apart, and each kind is a class. Over all documents, the information
+    that a term t gives about a class c is their pointwise mutual information, log N n(t, c) / (n(t) n(c)),
+    and c's own information is log N / n(c), where n counts documents, whatever the distance of t and c in
+    them. A term reveals a class if
+
+    * its share of the information, smoothed by `smoothing` documents that hold c as often as any,
+      reaches `disclosure`: it hardly occurs in documents without the class; and
+    * they meet more often than chance explains. By chance a term of n(t) documents meets the class in
+      n(t) n(c) / N of them; the probability of n(t, c) or more is bounded (Chernoff, for a Poisson
+      number), and has to be below `chance` divided by the number of pairs looked at. Among many rare
+      words some occur in a document that holds a value, and are not taken for revealing; and one text
+      alone, however often it is copied, does not tell one of its words from another.
+
+    It is marked wherever it occurs in a document that holds the class.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(content.alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    entities = staged(values.select("text_hash", _entity().alias("entity")).distinct(), "entities")
-    hashes = staged(entities.select("text_hash").distinct(), "hashes")
+    rows = docs.select(content.alias("text")).withColumn("text_hash", text_key(F.col("text")))
+    held = staged(values.select("text_hash", "kind", _entity().alias("entity")).distinct(), "entities")
+    hashes = staged(held.select("text_hash").distinct(), "hashes")
     # Equal texts have the same values and terms: they are kept once, with their number.
     texts = staged(
-        rows.join(_hint(hashes, most_broadcast), "text_hash", "left_semi")
+        rows.join(hinted(hashes, most_bytes), "text_hash", "left_semi")
         .groupBy("text_hash")
         .agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("m")),
         "texts",
     )
     n = float(max(docs.count(), 1))
-    counted = entities.join(texts.select("text_hash", "m"), "text_hash").groupBy("entity").agg(F.sum("m").alias("n_entity"))
-    share = F.col("n_entity") / n
-    # A more frequent term cannot reach the disclosure, even if it occurs in all documents of the value.
-    most = (F.col("n_entity") + smoothing * share) / F.pow(share, 1 - disclosure) - smoothing
-    counted = staged(counted.where(share < 1).withColumn("most", most), "counted")
-    top = counted.agg(F.max("most")).first()[0]
-    wanted = staged(texts.select(F.explode(_terms_of(F.col("text"))).alias("term")).distinct(), "terms")
-    terms = (
-        rows.select(F.explode(_terms_of(F.col("text"))).alias("term"))
-        .join(_hint(wanted, most_broadcast), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_term"))
-        .where(F.col("n_term") <= F.lit(top or 0.0) * (1 + 1e-9))
+    # Values with the same texts: the same number of them, and the same combination of their hashes.
+    bits = [F.bit_xor(F.xxhash64(F.lit(k), "text_hash")).alias(f"x{k}") for k in (1, 2)]
+    sets = held.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), *bits).where("texts > 1")
+    name = F.concat_ws(":", F.lit("set"), "texts", "x1", "x2").alias("class")
+    of_values = held.join(sets.select("entity", name), "entity").select("text_hash", "class").distinct()
+    of_kinds = held.select("text_hash", F.concat(F.lit("kind:"), F.col("kind").cast("string")).alias("class")).distinct()
+    classes = staged(of_values.unionByName(of_kinds).join(texts.select("text_hash", "m"), "text_hash"), "classes")
+    sizes = staged(
+        classes.groupBy("class").agg(F.sum("m").alias("n_class")).where(F.col("n_class") < n), "class-sizes"
     )
-    own = texts.select("text_hash", "m", F.explode(_terms_of(F.col("text"))).alias("term")).join(terms, "term")
-    pairs = own.join(entities, "text_hash").join(counted, "entity").where(F.col("n_term") <= F.col("most") * (1 + 1e-9))
-    pairs = staged(pairs, "pairs")
-    together = pairs.groupBy("entity", "term").agg(
-        F.sum("m").alias("n_both"), F.any_value("n_term").alias("n_term"), F.any_value("n_entity").alias("n_entity")
+    own = staged(texts.select("text_hash", F.explode(_terms_of(F.col("text"))).alias("term")), "text-terms")
+    pairs = own.join(classes, "text_hash")
+    counts = F.sum("m").alias("n_both"), F.count(F.lit(1)).alias("n_texts")
+    together = staged(pairs.groupBy("class", "term").agg(*counts).join(sizes, "class"), "together")
+    looked_at = max(together.count(), 1)
+    # The least n(t) is n(t, c): what chance explains even then needs no count over all documents.
+    k, least = F.col("n_both"), F.col("n_both") * F.col("n_class") / n
+
+    def surprise(expected: Column) -> Column:
+        return F.when(k > expected, k * F.log(k / expected) - k + expected).otherwise(0.0)
+
+    needed = math.log(looked_at / chance)
+    hopeful = staged(together.where((F.col("n_texts") > 1) & (surprise(least) >= needed)), "hopeful")
+    wanted = staged(hopeful.select("term").distinct(), "terms")
+    every = rows.select(F.explode(_terms_of(F.col("text"))).alias("term"))
+    if is_small(wanted, most_bytes):
+        counted = every.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    else:  # counted in every task before the counts, and not the terms, are dealt out
+        counted = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
+    share = F.col("n_class") / n
+    given = F.log2((k + smoothing * share) / (F.col("n_term") + smoothing) / share)
+    revealing = staged(
+        hopeful.join(counted, "term")
+        .where(given / -F.log2(share) >= disclosure)
+        .where(surprise(F.col("n_term") * F.col("n_class") / n) >= needed)
+        .select("class", "term"),
+        "revealing",
     )
-    given = F.log2((F.col("n_both") + smoothing * share) / (F.col("n_term") + smoothing) / share)
-    revealing = together.where(given / -F.log2(share) >= disclosure)
     marked = staged(
-        pairs.join(revealing.select("entity", "term"), ["entity", "term"]).select("text_hash", "term").distinct(), "revealing"
+        own.join(hinted(revealing, most_bytes), "term")
+        .join(classes.select("text_hash", "class"), ["text_hash", "class"], "left_semi")
+        .select("text_hash", "term")
+        .distinct(),
+        "marked",
     )
+    for frame in (held, hashes, classes, sizes, own, together, hopeful, wanted, revealing):
+        unstage(frame)
+    return marked, texts
+
+
+def revealing_spans(docs: DataFrame, values: DataFrame, **options) -> DataFrame:
+    """text_hash, start, end of every :func:`revealing_terms` in its texts."""
+    marked, texts = revealing_terms(docs, values, **options)
     holders = texts.join(marked.select("text_hash").distinct(), "text_hash", "left_semi")
     return _places(holders).join(marked, ["text_hash", "term"]).select("text_hash", "start", "end")
 
@@ -195,15 +240,17 @@ def private_spans(
     text: str = "text",
     disclosure: float = DISCLOSURE,
     smoothing: float = SMOOTHING,
+    chance: float = CHANCE,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_hash, spans (array of kind, start, end, in order).
 
-    kind is the index in ``KINDS``, or its length for a revealing term in a text that holds the value. A null text
+    kind is the index in ``KINDS``, or its length for a term of :func:`revealing_terms`. A null text
     counts as empty and has no spans. Rows that repeat an id and a text get the same spans; an id
-    may be null. Other columns are ignored.
+    may be null. Very long texts are searched whole. Other columns are ignored. An empty table gives no
+    row.
     """
     values = staged(personal_values(docs, doc_id=doc_id, text=text), "values")
-    terms = revealing_spans(docs, values, disclosure=disclosure, smoothing=smoothing, text=text)
+    terms = revealing_spans(docs, values, disclosure=disclosure, smoothing=smoothing, chance=chance, text=text)
     span = F.struct(F.lit(len(KINDS)).alias("kind"), "start", "end")
     terms = terms.groupBy("text_hash").agg(F.collect_list(span).alias("terms"))
     spans = values.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("spans"))
@@ -211,7 +258,7 @@ def private_spans(
         "doc_id", "text_hash", F.sort_array(F.concat("spans", F.coalesce("terms", F.array()))).alias("spans")
     )
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_hash")
+        F.col(doc_id).alias("doc_id"), text_key(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_hash")
     )
     same = rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["text_hash"] == spans["text_hash"])
     empty = F.array().cast(spans.schema["spans"].dataType)

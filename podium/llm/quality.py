@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import staged
+from podium.llm.common import staged, unstage
 
 # Kinds of bytes whose shares describe how a text is written.
 _KINDS = np.full(256, 10, dtype=np.uint8)  # not ASCII
@@ -26,6 +26,8 @@ _PLAIN = _SHARES + 4 + 8
 FEATURES = 2 * _PLAIN + 1
 PENALTY = 1e-3
 ROUNDS = 12
+# Bins of the scores from which the class prior is estimated.
+BINS = 1000
 _NEUTRAL = 0.5
 
 
@@ -128,16 +130,24 @@ def fit(rows: DataFrame, prior: float, *, penalty: float = PENALTY, rounds: int
             x = (x - mean) * scale
             z = x @ w
             p = _sigmoid(z)
-            curve = (x * (p * (1 - p))[:, None]).T @ x
-            loss = np.logaddexp(0, z)
-            return np.concatenate([[loss.sum(), loss[positive].sum()], x.T @ p, curve.ravel()])
+            loss, bent = np.logaddexp(0, z), x * (p * (1 - p))[:, None]
+            own = x[positive]
+            return np.concatenate([
+                [loss.sum(), loss[positive].sum()], x.T @ p, own.T @ p[positive], (bent.T @ x).ravel(), (bent[positive].T @ own).ravel()
+            ])
 
-        got = _summed(rows, parts, 2 + d + d * d)
+        got = _summed(rows, parts, 2 + 2 * d + 2 * d * d)
         as_negative, own = got[0] / n, got[1] / trusted
+        slopes = got[2 : d + 2] / n, got[d + 2 : 2 * d + 2] / trusted
+        curves = got[2 * d + 2 :].reshape(2, d, d)
         # l(z) = l(-z) - z, so the risk of the positives needs no sum of its own.
-        risk = prior * (own - of_positive @ w) + max(0.0, as_negative - prior * own) + (ridge * w * w).sum() / 2
-        slope = got[2 : d + 2] / n - prior * of_positive + ridge * w
-        return risk, slope, got[d + 2 :].reshape(d, d) / n + np.diag(ridge + 1e-9)
+        of_negatives = as_negative - prior * own
+        risk = prior * (own - of_positive @ w) + max(0.0, of_negatives) + (ridge * w * w).sum() / 2
+        if of_negatives > 0:
+            slope, curve = slopes[0] - prior * of_positive, curves[0] / n
+        else:  # counted as 0: only the positives' part is left
+            slope, curve = prior * (slopes[1] - of_positive), prior * curves[1] / trusted
+        return risk, slope + ridge * w, curve + np.diag(ridge + 1e-9)
 
     w = np.zeros(d)
     risk, slope, curve = at(w)
@@ -158,10 +168,31 @@ def fit(rows: DataFrame, prior: float, *, penalty: float = PENALTY, rounds: int
     return weights
 
 
-def estimated_prior(marked: DataFrame) -> float:
-    """The share of the label among marked rows (quality): an estimate of the positives' share."""
-    row = marked.agg(F.avg(F.col("quality").cast("double"))).first()
-    return _NEUTRAL if row[0] is None else float(row[0])
+def estimated_prior(rows: DataFrame, weights: np.ndarray, *, bins: int = BINS, confidence: float = 0.1) -> float:
+    """The share of positives among the unlabelled texts, from these and the trusted positives alone.
+
+    Above any score, the share of all texts is at least the prior times the share of the positives, as
+    the positives among them are there. The prior is therefore at most the least ratio of the two, and
+    is that where the highest scores belong to positives only. Each ratio is taken with the sampling
+    errors that its two shares have with `confidence`, which keeps thresholds that few positives reach
+    from deciding. Two histograms of scores are summed over all rows.
+    """
+
+    def counts(x, positive):
+        place = np.minimum((score(x, weights) * bins).astype(np.int64), bins - 1)
+        return np.concatenate([np.bincount(place, minlength=bins), np.bincount(place[positive], minlength=bins)])
+
+    found = _summed(rows, counts, 2 * bins)
+    above_all, above_own = np.cumsum(found[:bins][::-1]), np.cumsum(found[bins:][::-1])
+    n, trusted = above_all[-1], above_own[-1]
+    if not n or not trusted:
+        return _NEUTRAL
+    some = above_own > 0
+    errors = sum(np.sqrt(np.log(4 / confidence) / (2 * k)) for k in (n, trusted))
+    share = above_own[some] / trusted
+    limit = (above_all[some] / n + errors) / share
+    best = int(np.argmin(limit))
+    return float(min(1.0, above_all[some][best] / n / share[best]))
 
 
 def learn_quality(
@@ -170,16 +201,21 @@ def learn_quality(
     """Weights from the features of the documents (doc_id, x) and labels (doc_id, quality 0 or 1).
 
     Documents where `learn_from` (of doc_id) holds are the unlabelled texts, all of them; those
-    marked 1 are the trusted positives. Marks of 0 serve for nothing but the class prior, when none
-    is given. A document with several marks has the largest; null marks and ids are left out.
+    marked 1 are the trusted positives. Marks of 0 serve for nothing. Where no class prior is given, a
+    model with an even prior ranks the texts, and the prior is estimated from its scores, see
+    :func:`estimated_prior`. A document with several marks has the largest; null marks and ids are left
+    out.
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     own = described_docs if learn_from is None else described_docs.where(learn_from)
     marked = own.join(marks, "doc_id", "left").select("x", "quality", (F.coalesce("quality", F.lit(0)) == 1).alias("positive"))
     marked = staged(marked, "quality-rows")
     if prior is None:
-        prior = estimated_prior(marked.where("quality is not null"))
-    return fit(marked, min(max(prior, 0.01), 0.99))
+        first = fit(marked, _NEUTRAL)
+        prior = estimated_prior(marked, first) if first.any() else _NEUTRAL
+    weights = fit(marked, min(max(prior, 0.01), 0.99))
+    unstage(marked)
+    return weights
 
 
 def score(x: np.ndarray, weights: np.ndarray) -> np.ndarray:

@@ -179,13 +179,23 @@ SQL = {
                    coalesce(sum(least(c.times, w.times)), 0) AS shared
             FROM counted c LEFT JOIN wanted w ON w.item_id = c.item_id AND w.shingle = c.shingle
             GROUP BY ALL
+        ), short AS (
+            SELECT DISTINCT id AS item_id, len(words) AS k, array_to_string(words, ' ') AS whole
+            FROM item_words WHERE len(words) < 5 AND words[1] <> ''
+        ), grams AS (
+            SELECT id AS doc_id, k, unnest(range(len(words) - k + 1)) AS place,
+                   unnest(list_transform(range(len(words) - k + 1),
+                                         lambda i: array_to_string(words[i + 1:i + k], ' '))) AS whole
+            FROM doc_words, (SELECT DISTINCT k FROM short) WHERE len(words) >= k
+        ), found AS (
+            SELECT doc_id, item_id, shared / (size + n - shared) AS similarity, place AS first_word,
+                   CAST(size + 4 AS BIGINT) AS n_words
+            FROM compared WHERE shared / (size + n - shared) >= 0.8
+            UNION ALL
+            SELECT doc_id, item_id, 1.0, place, k FROM short JOIN grams USING (k, whole)
         )
-        SELECT doc_id, item_id, shared / (size + n - shared) AS similarity, place AS first_word,
-               CAST(size + 4 AS BIGINT) AS n_words
-        FROM compared
-        WHERE shared / (size + n - shared) >= 0.8
-        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
-                                   ORDER BY shared / (size + n - shared) DESC, place) = 1
+        SELECT * FROM found WHERE doc_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, first_word) = 1
     """,
     "op11_prefix_trie": r"""
         WITH turns AS (

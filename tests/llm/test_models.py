@@ -6,12 +6,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from podium.llm.common import held_out
 from podium.llm.langid import BUCKETS, ORDERS, _pieces, identify_languages, learn, predict
 from podium.llm.lattice_lm import Lattice, expected, load_vocabulary, score_texts, word_scores, words_of
-from podium.llm.quality import FEATURES, features, keep_quality, score_quality
+from podium.llm.quality import FEATURES, estimated_prior, features, fit, keep_quality, score_quality
 
 from .samples import documents, many_partitions
 
@@ -92,11 +93,63 @@ def test_quality_held_out_and_filter(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got.where("predicted = 1").collect())
 
 
-def test_marks_of_zero_only_set_the_prior(spark):
+def plain_risk(x, positive, w, prior, penalty=1e-3):
+    """The non-negative PU risk and its slope, of standardised features, row by row."""
+    loss = lambda z: np.logaddexp(0, -z)
+    z = x @ w
+    of_negatives = loss(-z).mean() - prior * loss(-z[positive]).mean()
+    ridge = np.r_[np.full(len(w) - 1, penalty), 0]
+    risk = prior * loss(z[positive]).mean() + max(0.0, of_negatives) + (ridge * w * w).sum() / 2
+    p = 1 / (1 + np.exp(-z))
+    slope = prior * (x[positive] * (p[positive] - 1)[:, None]).mean(0) + ridge * w
+    if of_negatives > 0:
+        slope = slope + (x * p[:, None]).mean(0) - prior * (x[positive] * p[positive][:, None]).mean(0)
+    return risk, slope
+
+
+def small_rows(spark, seed, share, shift):
+    chance = np.random.default_rng(seed)
+    good = chance.random(600) < share
+    x = np.zeros((600, FEATURES), dtype="<f4")
+    x[:, :3] = chance.normal(0, 1, (600, 3)) + shift * good[:, None]
+    x[:, -1] = 1
+    marked = good & (chance.random(600) < 0.3)
+    rows = [(x[k].tobytes(), bool(marked[k])) for k in range(600)]
+    return spark.createDataFrame(rows, "x binary, positive boolean"), x.astype(float), marked, good
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.95])
+def test_the_least_risk_is_found(spark, prior):
+    """Against the plain risk: no step downhill is left, also where the negatives' part is clamped."""
+    rows, x, positive, _ = small_rows(spark, 1, 0.3, 2.0)
+    w = fit(rows, prior, rounds=40)
+    spread = x.std(0)
+    scale = np.where(spread > 1e-6, 1 / np.maximum(spread, 1e-6), 0)
+    mean = x.mean(0)
+    mean[-1], scale[-1] = 0, 1
+    own = np.divide(w, scale, out=np.zeros_like(w), where=scale > 0)
+    own[-1] = w[-1] + w[:-1] @ mean[:-1]
+    flat = (x - mean) * scale
+    risk, slope = plain_risk(flat, positive, own, prior)
+    for step in (1e-2, 1e-3, 1e-4):
+        assert plain_risk(flat, positive, own - step * slope, prior)[0] >= risk - 1e-4
+    chance = np.random.default_rng(2)
+    for _ in range(30):
+        other = own + 0.05 * chance.normal(0, 1, len(own)) * (scale > 0)
+        assert plain_risk(flat, positive, other, prior)[0] >= risk - 1e-4
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
+def test_the_prior_comes_from_positives_and_unlabelled_texts(spark, share):
+    rows, _, _, good = small_rows(spark, 3, share, 4.0)
+    assert abs(estimated_prior(rows, fit(rows, 0.5)) - good.mean()) < 0.1
+
+
+def test_marks_of_zero_serve_for_nothing(spark):
     docs, labels = (spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels"))
     positives = labels.where("quality = 1")
-    one = score_quality(docs, labels, prior=0.85)
-    other = score_quality(docs, positives, prior=0.85)
+    one = score_quality(docs, labels)
+    other = score_quality(docs, positives)
     pairs = one.alias("a").join(other.alias("b"), "doc_id").select(F.abs(F.col("a.score") - F.col("b.score")).alias("d"))
     assert pairs.agg(F.max("d")).first()[0] < 1e-6
 
