@@ -168,14 +168,15 @@ def fit(rows: DataFrame, prior: float, *, penalty: float = PENALTY, rounds: int
     return weights
 
 
-def estimated_prior(rows: DataFrame, weights: np.ndarray, *, bins: int = BINS, confidence: float = 0.1) -> float:
+def estimated_prior(rows: DataFrame, weights: np.ndarray, *, bins: int = BINS) -> float:
     """The share of positives among the unlabelled texts, from these and the trusted positives alone.
 
     Above any score, the share of all texts is at least the prior times the share of the positives, as
     the positives among them are there. The prior is therefore at most the least ratio of the two, and
-    is that where the highest scores belong to positives only. Each ratio is taken with the sampling
-    errors that its two shares have with `confidence`, which keeps thresholds that few positives reach
-    from deciding. Two histograms of scores are summed over all rows.
+    is that where the highest scores belong to positives only. Each ratio is taken with the standard
+    errors of its two shares on top, which keeps thresholds that few positives reach from deciding, and
+    a filter from being too strict where little is known. Two histograms of scores are summed over all
+    rows.
     """
 
     def counts(x, positive):
@@ -188,11 +189,8 @@ def estimated_prior(rows: DataFrame, weights: np.ndarray, *, bins: int = BINS, c
     if not n or not trusted:
         return _NEUTRAL
     some = above_own > 0
-    errors = sum(np.sqrt(np.log(4 / confidence) / (2 * k)) for k in (n, trusted))
-    share = above_own[some] / trusted
-    limit = (above_all[some] / n + errors) / share
-    best = int(np.argmin(limit))
-    return float(min(1.0, above_all[some][best] / n / share[best]))
+    errors = sum(0.5 / np.sqrt(k) for k in (n, trusted))
+    return float(min(1.0, ((above_all[some] / n + errors) * trusted / above_own[some]).min()))
 
 
 def learn_quality(

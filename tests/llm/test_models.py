@@ -107,14 +107,14 @@ def plain_risk(x, positive, w, prior, penalty=1e-3):
     return risk, slope
 
 
-def small_rows(spark, seed, share, shift):
+def small_rows(spark, seed, share, shift, n=600):
     chance = np.random.default_rng(seed)
-    good = chance.random(600) < share
-    x = np.zeros((600, FEATURES), dtype="<f4")
-    x[:, :3] = chance.normal(0, 1, (600, 3)) + shift * good[:, None]
+    good = chance.random(n) < share
+    x = np.zeros((n, FEATURES), dtype="<f4")
+    x[:, :3] = chance.normal(0, 1, (n, 3)) + shift * good[:, None]
     x[:, -1] = 1
-    marked = good & (chance.random(600) < 0.3)
-    rows = [(x[k].tobytes(), bool(marked[k])) for k in range(600)]
+    marked = good & (chance.random(n) < 0.3)
+    rows = [(x[k].tobytes(), bool(marked[k])) for k in range(n)]
     return spark.createDataFrame(rows, "x binary, positive boolean"), x.astype(float), marked, good
 
 
@@ -141,7 +141,7 @@ def test_the_least_risk_is_found(spark, prior):
 
 @pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
 def test_the_prior_comes_from_positives_and_unlabelled_texts(spark, share):
-    rows, _, _, good = small_rows(spark, 3, share, 4.0)
+    rows, _, _, good = small_rows(spark, 3, share, 4.0, n=4000)
     assert abs(estimated_prior(rows, fit(rows, 0.5)) - good.mean()) < 0.1
 
 
