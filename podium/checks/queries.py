@@ -634,8 +634,8 @@ def q_incremental_silver(spark: SparkSession, folder: str) -> DataFrame:
     silver = VersionedTable(spark, scratch_dir(spark, "silver"), BUCKET)
     for load, rest in enumerate((0, 1, 1, 2)):
         rows = orders.where(F.col("o_orderkey") % 4 != rest).drop("o_orderkey")
-        load_silver(rows, silver, min(load, 2))
-    load_silver(orders.where(F.col("o_orderkey") % 4 == 2).drop("o_orderkey"), silver, 3)
+        load_silver(rows, silver, min(load, 2), buckets=8)
+    load_silver(orders.where(F.col("o_orderkey") % 4 == 2).drop("o_orderkey"), silver, 3, buckets=8)
     return silver_rows(silver.read())
 
 
@@ -651,7 +651,7 @@ def q_incremental_gold(spark: SparkSession, folder: str) -> DataFrame:
             customers.where(F.pmod(F.xxhash64("custkey"), F.lit(3)) == load),
             orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == load),
         )
-        load_increment(bronze, silver, state, load, GOLD_SPEC)
+        load_increment(bronze, silver, state, load, GOLD_SPEC, buckets=8)
     return gold_averages(state, GOLD_SPEC)
 
 

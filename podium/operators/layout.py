@@ -25,12 +25,18 @@ def quantile_bounds(df: DataFrame, names: Sequence[str], parts: int, accuracy: i
 
 
 def rank_in(name: str, bounds: Sequence) -> Column:
-    """How many of `bounds` the value is not below, nulls first: equal steps of rows and not of values."""
-    listed = F.array(*[F.lit(b) for b in bounds]) if bounds else None
-    if listed is None:
-        return F.lit(0)
-    reached = F.array_size(F.filter(listed, lambda b: b <= column(name)))
-    return F.when(column(name).isNull(), F.lit(0)).otherwise(reached)
+    """How many of `bounds` the value is not below, nulls first: equal steps of rows and not of values.
+
+    The bounds are searched by halves, so a row is compared with few of them.
+    """
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(column(name) < F.lit(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return F.when(column(name).isNull(), F.lit(0)).otherwise(search(0, len(bounds)))
 
 
 def interleaved(ranks: Sequence[Column], bits: int) -> Column:
@@ -43,16 +49,19 @@ def interleaved(ranks: Sequence[Column], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), terms)
 
 
-def along_curve(df: DataFrame, names: Sequence[str], files: int, bits: int = 8) -> DataFrame:
+def along_curve(df: DataFrame, names: Sequence[str], files: int, bits: int | None = None) -> DataFrame:
     """`df` in `files` partitions along a space-filling curve through the columns `names`, sorted in each.
 
     Written as it is, a file holds a small range of every one of the columns, so a filter on any of
     them, and most of all on several, passes over most files by their smallest and largest values. A
     plain sort does that for its first column only. The curve goes by ranks in sampled quantiles, so
-    uneven columns are parted evenly too. Spark samples the curve for the bounds of the partitions;
-    rows of one place on the curve go to one partition.
+    uneven columns are parted evenly too. A column has 2 to the power `bits` ranks; for None, so many
+    that there are some dozens of places on the curve for each file. Spark samples the curve for the
+    bounds of the partitions; rows of one place on the curve go to one partition.
     """
+    if bits is None:
+        bits = min(12, -(-(max(1, files).bit_length() + 6) // len(names)))
     bounds = quantile_bounds(df, names, 1 << bits)
-    curve = interleaved([rank_in(name, own) for name, own in zip(names, bounds)], bits)
-    placed = df.withColumn(CURVE, curve)
-    return placed.repartitionByRange(files, CURVE).sortWithinPartitions(CURVE).drop(CURVE)
+    ranks = {f"{CURVE}{i}": rank_in(name, own) for i, (name, own) in enumerate(zip(names, bounds))}
+    placed = df.withColumns(ranks).withColumn(CURVE, interleaved([F.col(name) for name in ranks], bits))
+    return placed.repartitionByRange(files, CURVE).sortWithinPartitions(CURVE).drop(CURVE, *ranks)

@@ -19,7 +19,8 @@ from podium.session import scratch_dir
 from podium.versions import Version, VersionedTable, bucket_of
 from podium.storage import delete
 
-# Partitions of a table that is kept up to date: what one load does not touch stays as it is.
+# Partitions of a table that is kept up to date: what one load does not touch stays as it is. A table
+# keeps the number it began with; a bucket of a large one should still be many files.
 BUCKETS = 64
 DIGEST, BUCKET = "_digest", "_bucket"
 _SUM, _COUNT = "_sum_", "_count_"
@@ -132,6 +133,7 @@ def load_increment(
     state: VersionedTable,
     load: int,
     spec: StatsSpec = GOLD,
+    buckets: int = BUCKETS,
 ) -> Version:
     """One load through silver and gold; the pairs are the reference table and the facts.
 
@@ -145,7 +147,7 @@ def load_increment(
         number = -1 if version is None else version.number - loaded
         before.append(None if number < 0 else number)
         if not loaded:
-            load_silver(rows, table, load)
+            load_silver(rows, table, load, buckets=buckets)
     if state.has("load", load):
         return state.version()
     reference, facts = silver
@@ -153,5 +155,5 @@ def load_increment(
     return update_gold(
         state, load,
         silver_rows(facts.added(before[1])), silver_rows(reference.read()),
-        old_facts, silver_rows(reference.added(before[0])), spec,
+        old_facts, silver_rows(reference.added(before[0])), spec, buckets,
     )
