@@ -164,30 +164,43 @@ def _parser() -> argparse.ArgumentParser:
         command.set_defaults(run=run)
         return command
 
+    def keeps_versions(command: argparse.ArgumentParser) -> None:
+        command.add_argument(
+            "--versions", action="store_true", help="keep the old table until the new one is complete"
+        )
+
     command = step(
         "landing-to-bronze",
-        lambda spark, a: landing_to_bronze(spark, a.landing, a.lake, a.table or TABLES),
+        lambda spark, a: landing_to_bronze(spark, a.landing, a.lake, a.table or TABLES, a.versions),
         "CSV files to Parquet",
     )
     command.add_argument("--landing", required=True)
     command.add_argument("--lake", required=True)
     command.add_argument("--table", action="append")
+    keeps_versions(command)
     command = step(
         "bronze-to-silver",
-        lambda spark, a: bronze_to_silver(spark, a.lake, a.table or TABLES),
+        lambda spark, a: bronze_to_silver(spark, a.lake, a.table or TABLES, versions=a.versions),
         "clean text and drop duplicates",
     )
     command.add_argument("--lake", required=True)
     command.add_argument("--table", action="append")
+    keeps_versions(command)
     command = step(
-        "silver-to-gold", lambda spark, a: silver_to_gold(spark, a.lake), "averages per group"
+        "silver-to-gold",
+        lambda spark, a: silver_to_gold(spark, a.lake, versions=a.versions),
+        "averages per group",
     )
     command.add_argument("--lake", required=True)
+    keeps_versions(command)
     command = step(
-        "lake", lambda spark, a: run_lake(spark, a.landing, a.lake), "the three lake steps in order"
+        "lake",
+        lambda spark, a: run_lake(spark, a.landing, a.lake, versions=a.versions),
+        "the three lake steps in order",
     )
     command.add_argument("--landing", required=True)
     command.add_argument("--lake", required=True)
+    keeps_versions(command)
 
     command = step(
         "create-table",

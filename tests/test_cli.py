@@ -9,7 +9,7 @@ from podium.cli import main
 from podium.plans import FileTopic
 from podium.session import KAFKA_CONNECTOR
 from podium.sinks import write_jdbc
-from podium.sources import Jdbc, read_jdbc
+from podium.sources import Jdbc, read_jdbc, read_layer
 from tests.athletes import BIO_TEXT, STATS, as_stats, bio, results
 
 
@@ -24,6 +24,10 @@ def test_lake_steps(spark, tmp_path):
     main(["lake", "--landing", landing, "--lake", f"{lake}2"], spark)
     at_once = spark.read.parquet(f"{lake}2/gold/avg_stats").drop("timestamp").collect()
     assert sorted(apart) == sorted(at_once) and len(apart) == 6
+    for _ in range(2):
+        main(["lake", "--landing", landing, "--lake", f"{lake}3", "--versions"], spark)
+    versions = read_layer(spark, f"{lake}3", "gold", "avg_stats").drop("timestamp").collect()
+    assert sorted(versions) == sorted(at_once)
 
 
 def test_stream_steps(spark, tmp_path, monkeypatch, capsys):
