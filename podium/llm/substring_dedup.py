@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,11 @@ def _coded(words: list[bytes]) -> np.ndarray:
     return np.array([digest(word) for word in words], dtype=np.uint64)
 
 
+def _decoded(words: bytes) -> np.ndarray:
+    """Coded words from their bytes in a row."""
+    return np.frombuffer(words, dtype="<u8").astype(np.uint64)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -71,20 +77,41 @@ def runs(codes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
     return grams[places[start]].view(np.int64), run.view(np.int64), start, count
 
 
+_RUNS = "anchor long, run long, doc_id long, start int, count int"
+
+
+def _as_batch(ids: np.ndarray, begins: np.ndarray, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The runs found in each of several word sequences, which start at `begins` of their documents."""
+    anchors, keys, starts, counts = (np.concatenate(c) for c in zip(*found))
+    sizes = [len(x[0]) for x in found]
+    arrays = [pa.array(anchors), pa.array(keys), pa.array(np.repeat(ids, sizes))]
+    arrays += [pa.array(x.astype(np.int32)) for x in (starts + np.repeat(begins, sizes), counts)]
+    return pa.RecordBatch.from_arrays(arrays, names=["anchor", "run", "doc_id", "start", "count"])
+
+
 def _runs_of(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
-                ids = np.asarray(part.column(0), dtype=np.int64)
                 found = [runs(_coded(words_of(x.as_py())), window, anchor) for x in part.column(1)]
-                columns = [np.concatenate(c) for c in zip(*found)]
-                ids = np.repeat(ids, [len(x[0]) for x in found])
-                arrays = [pa.array(columns[0]), pa.array(columns[1]), pa.array(ids)]
-                arrays += [pa.array(x.astype(np.int32)) for x in columns[2:]]
-                yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "run", "doc_id", "start", "count"])
+                ids = np.asarray(part.column(0), dtype=np.int64)
+                yield _as_batch(ids, np.zeros(len(ids), dtype=np.int64), found)
 
-    return docs.mapInArrow(run, "anchor long, run long, doc_id long, start int, count int")
+    return docs.mapInArrow(run, _RUNS)
+
+
+def _finer_runs(passages: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The windows of `passages` (with their words) as runs by longer anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = [runs(_decoded(x.as_py()), window, anchor) for x in batch.column(2)]
+                ids, begins = (np.asarray(batch.column(k), dtype=np.int64) for k in range(2))
+                yield _as_batch(ids, begins, found)
+
+    return passages.select("doc_id", "start", "words").mapInArrow(run, _RUNS)
 
 
 def _dealt_anew(frame: DataFrame, *keys: str) -> DataFrame:
@@ -121,22 +148,17 @@ def _with_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 
 def _searched(group: pa.Table, window: int) -> pa.Table:
-    """Windows of the group's streamed passages that an indexed passage has earlier."""
+    """Windows of the group's passages that one of them has earlier."""
     doc = np.asarray(group.column("doc_id"), dtype=np.int64)
     start = np.asarray(group.column("start"), dtype=np.int64)
-    words = [np.frombuffer(x, dtype="<u8").astype(np.uint64) for x in group.column("words").to_pylist()]
-    indexed, streamed = (np.flatnonzero(np.asarray(group.column(x))) for x in ("indexed", "streamed"))
-    empty = pa.table({"doc_id": pa.array([], pa.int64()), "start": pa.array([], pa.int32()), "count": pa.array([], pa.int32())})
-    if not len(indexed) or not len(streamed):
-        return empty
+    words = [_decoded(x) for x in group.column("words").to_pylist()]
     # Places are numbered by document and position, so that the least number is the first place.
     ids, which = np.unique(doc, return_inverse=True)
     room = int((start + [len(x) for x in words]).max()) + 1
     numbers = [which[k] * room + start[k] + np.arange(len(words[k])) for k in range(len(words))]
-    index = FmIndex([words[k] for k in indexed], [numbers[k] for k in indexed], window)
-    _, least = index.statistics([words[k] for k in streamed])
+    _, least = FmIndex(words, numbers, window).statistics(words)
     out_doc, out_start, out_count = [], [], []
-    for k, first in zip(streamed, least):
+    for k, first in enumerate(least):
         earlier = np.concatenate([[0], first < numbers[k], [0]]).astype(np.int8)
         change = np.diff(earlier)
         begins, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
@@ -152,44 +174,16 @@ def _searched(group: pa.Table, window: int) -> pa.Table:
     )
 
 
-def _earlier_elsewhere(docs: DataFrame, different: DataFrame, window: int, shard_words: int) -> DataFrame:
+def _earlier_elsewhere(docs: DataFrame, different: DataFrame, window: int, shards: int) -> DataFrame:
     """Windows (doc_id, start, count) of `different` passages that another of them has earlier.
 
-    Passages with equal anchors meet in one shard. An anchor with too many words for a shard has
-    shards of its own, each of which a part of its passages is indexed in and all are streamed past.
+    Passages with equal anchors meet in one shard, which is indexed, and which all of them are
+    streamed past.
     """
-    size = F.col("count") + window - 1
-    total = different.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    shards = max(1, -(-total // shard_words))
-    hot = different.groupBy("anchor").agg(F.sum(size).alias("_words")).where(F.col("_words") > shard_words).select(
-        "anchor", F.ceil(F.col("_words") / shard_words).cast("int").alias("parts")
-    )
-    dealt = _with_words(docs, different, window)
-    dealt = _dealt_anew(dealt, "anchor").join(_dealt_anew(hot, "anchor"), ["_deal", "anchor"], "left")
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = dealt.select(
-        "doc_id", "start", "count", "words",
-        F.col("parts").isNotNull().alias("hot"),
-        F.when(F.col("parts").isNotNull(), F.col("anchor")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))).alias("shard"),
-        parts.alias("parts"),
-        F.pmod(F.xxhash64("run"), parts).cast("int").alias("own"),
-    )
-
-    def roles(other):
-        here = other == F.col("own")
-        row = lambda a, b, indexed, streamed: F.struct(
-            a.alias("index_part"), b.alias("stream_part"), F.lit(indexed).alias("indexed"), F.lit(streamed).alias("streamed")
-        )
-        own = F.col("own")
-        return F.when(here, F.array(row(own, other, True, True))).otherwise(
-            F.array(row(own, other, True, False), row(other, own, False, True))
-        )
-
-    placed = F.flatten(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), roles))
     return (
-        dealt.select("hot", "shard", "doc_id", "start", "words", F.explode(placed).alias("r"))
-        .select("hot", "shard", "doc_id", "start", "words", "r.*")
-        .groupBy("hot", "shard", "index_part", "stream_part")
+        _with_words(docs, different, window)
+        .select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "doc_id", "start", "words")
+        .groupBy("shard")
         .applyInArrow(lambda group: _searched(group, window), "doc_id long, start int, count int")
     )
 
@@ -214,6 +208,11 @@ def repeated_passages(
     stands for all, so a group of copies costs one row per task. Only what then shares an anchor
     with a different passage is indexed and searched.
 
+    An anchor with more words than a shard takes, as a phrase that is common in different
+    surroundings has, is parted by longer anchors: its windows are brought together anew, by an
+    anchor half-way to the window's length and at last by all of their words, where passages are equal
+    or have nothing to do with each other. So no shard grows, and nothing is compared all with all.
+
     Null texts have no words. Rows without an id take no part. Rows that repeat an id have to repeat
     its text; they count once. Other columns are ignored.
     """
@@ -222,36 +221,52 @@ def repeated_passages(
     rows = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
+    lengths = sorted({anchor, (anchor + window) // 2, window})
+    size = F.col("count") + window - 1
+    found, read = [], []
     everything = staged(_runs_of(rows, window, anchor), "runs")
-    common = everything.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    shared = staged(
-        _dealt_anew(everything, "anchor").join(_dealt_anew(common, "anchor"), ["_deal", "anchor"], "left_semi").drop("_deal"),
-        "shared-runs",
-    )
-    unstage(everything)
-    first = F.min(F.struct("doc_id", "start")).alias("first")
-    passages = staged(
-        shared.groupBy("anchor", "run").agg(first, F.min("count").alias("count")).select("anchor", "run", "first.*", "count"),
-        "passages",
-    )
-    later = (
-        _dealt_anew(shared, "anchor", "run")
-        .join(
-            _dealt_anew(passages, "anchor", "run").select(
-                "_deal", "anchor", "run", F.col("doc_id").alias("_doc"), F.col("start").alias("_start")
-            ),
-            ["_deal", "anchor", "run"],
+    for length in lengths:
+        common = everything.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+        shared = staged(
+            _dealt_anew(everything, "anchor").join(_dealt_anew(common, "anchor"), ["_deal", "anchor"], "left_semi").drop("_deal"),
+            "shared-runs",
         )
-        .where((F.col("doc_id") != F.col("_doc")) | (F.col("start") != F.col("_start")))
-        .select("doc_id", "start", "count")
-    )
-    several = passages.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    different = staged(
-        _dealt_anew(passages, "anchor").join(_dealt_anew(several, "anchor"), ["_deal", "anchor"], "left_semi").drop("_deal"),
-        "different-passages",
-    )
-    inside = _earlier_elsewhere(rows, different, window, shard_words)
-    covered = later.unionByName(inside).select(
+        unstage(everything)
+        first = F.min(F.struct("doc_id", "start")).alias("first")
+        passages = staged(
+            shared.groupBy("anchor", "run").agg(first, F.min("count").alias("count")).select("anchor", "run", "first.*", "count"),
+            "passages",
+        )
+        found.append(
+            _dealt_anew(shared, "anchor", "run")
+            .join(
+                _dealt_anew(passages, "anchor", "run").select(
+                    "_deal", "anchor", "run", F.col("doc_id").alias("_doc"), F.col("start").alias("_start")
+                ),
+                ["_deal", "anchor", "run"],
+            )
+            .where((F.col("doc_id") != F.col("_doc")) | (F.col("start") != F.col("_start")))
+            .select("doc_id", "start", "count")
+        )
+        several = (
+            passages.groupBy("anchor")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("words"))
+            .where("n > 1")
+            .select("anchor", ((F.col("words") > shard_words) & F.lit(length < window)).alias("hot"))
+        )
+        different = staged(
+            _dealt_anew(passages, "anchor").join(_dealt_anew(several, "anchor"), ["_deal", "anchor"]).drop("_deal"),
+            "different-passages",
+        )
+        read += [shared, passages, different]
+        words, hot = different.agg(F.coalesce(F.sum(F.when(~F.col("hot"), size)), F.lit(0)), F.count_if("hot")).first()
+        if words:
+            found.append(_earlier_elsewhere(rows, different.where("not hot"), window, -(-words // shard_words)))
+        if not hot:
+            break
+        finer = lengths[lengths.index(length) + 1]
+        everything = staged(_finer_runs(_with_words(rows, different.where("hot"), window), window, finer), "finer-runs")
+    covered = reduce(DataFrame.unionByName, found).select(
         "doc_id", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("count") + window - 1).cast("long").alias("end")
     )
     in_order = Window.partitionBy("doc_id").orderBy("start", "end")
@@ -260,9 +275,10 @@ def repeated_passages(
         "island", F.sum("new").over(in_order)
     )
     merged = islands.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    found = staged(merged.select("doc_id", "start", "end"), "repeated-passages")
-    unstage(shared)
-    return found
+    repeated = staged(merged.select("doc_id", "start", "end"), "repeated-passages")
+    for frame in read:
+        unstage(frame)
+    return repeated
 
 
 def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -293,3 +293,18 @@ def test_passages_of_a_long_text_repeated_rows_and_no_rows(spark):
     assert without_repeats(documents(spark, [])).count() == 0
     with pytest.raises(ValueError):
         repeated_passages(twice, window=5, anchor=5)
+
+
+def test_a_phrase_common_in_different_surroundings(spark):
+    chance = random.Random(9)
+    phrase, rows = words(0, 9), []
+    for i in range(300):
+        text = words(100 * (i + 1), 12) + phrase + words(100 * (i + 1) + 50, 12)
+        if i % 10 == 3:  # the surroundings of another text, from some word on
+            text[chance.randrange(10) :] = rows[chance.randrange(len(rows))][1].split()
+        rows.append((i, " ".join(text)))
+    for shard_words in (100, 2_000):
+        got = without_repeats(many_partitions(documents(spark, rows)), shard_words=shard_words)
+        found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got.collect()}
+        assert found == brute_passages(rows, 20)
+        assert sum(x[1] for x in found.values()) > 500
