@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -23,8 +24,12 @@ GROUP_SHARE = 1 / 64
 # What a piece that was never seen counts for.
 SMOOTHING = 0.01
 # Words with at least this share of the training tokens are sent to all executors; there are at most
-# 1 / share of them, whatever the corpus. The counts of all other words are joined.
+# 1 / share of them, whatever the corpus, and they take at most so many bytes with their scores: the
+# share is doubled until they do. The counts of all other words are joined.
 HOT_SHARE = 2.0**-20
+HOT_BYTES = 1 << 27
+# Words of more bytes are scored one by one, with as much memory as the longest piece asks for.
+LONG_WORD = 1 << 12
 # Words that a task adds up before it sends them on, and bytes of words that one step lays out.
 _COUNTED = 300_000
 _CELLS = 400_000
@@ -71,6 +76,7 @@ class Lattice:
     def __init__(self, pieces: list[bytes]):
         self.step: dict[int, int] = {}
         self.piece: list[int] = [-1]
+        self.longest = max(map(len, pieces))
         for k, data in enumerate(pieces):
             node = 0
             for byte in data:
@@ -87,7 +93,7 @@ class Lattice:
         step, piece = self.step, self.piece
         at = 0
         while at < len(order):
-            own, arcs = [], []
+            own, arcs = [], array("q")
             while at < len(order) and (len(own) + 1) * (len(words[order[at]]) + 2) <= max(_CELLS, len(words[order[at]]) + 2):
                 data, n = b" " + words[order[at]], len(own)
                 for start in range(len(data)):
@@ -97,11 +103,32 @@ class Lattice:
                         if node is None:
                             break
                         if piece[node] >= 0:
-                            arcs += (n, start, k + 1, piece[node])
+                            arcs.extend((n, start, k + 1, piece[node]))
                 own.append(order[at])
                 at += 1
             sizes = np.array([len(words[k]) + 1 for k in own])
-            yield np.array(own), sizes, np.array(arcs, dtype=np.int64).reshape(-1, 4).T
+            yield np.array(own), sizes, np.frombuffer(arcs, dtype=np.int64).reshape(-1, 4).T
+
+    def long_word(self, word: bytes, scores: np.ndarray) -> np.ndarray:
+        """log-probability of one word by model, as :func:`forward` finds it. Of its prefixes only
+        those are held that a piece can still go on from."""
+        data, step, piece = b" " + word, self.step, self.piece
+        room = self.longest + 1
+        total = np.full((room, scores.shape[1]), -np.inf)
+        total[0] = 0
+        for start in range(len(data)):
+            here = total[start % room].copy()
+            total[start % room] = -np.inf
+            node, ends, found = 0, [], []
+            for k in range(start, len(data)):
+                node = step.get(node << 8 | data[k])
+                if node is None:
+                    break
+                if piece[node] >= 0:
+                    ends.append((k + 1) % room)
+                    found.append(piece[node])
+            total[ends] = np.logaddexp(total[ends], here + scores[found])
+        return total[len(data) % room]
 
 
 def _by(places: np.ndarray) -> np.ndarray:
@@ -149,8 +176,12 @@ def expected(sizes: np.ndarray, arcs: np.ndarray, scores: np.ndarray) -> np.ndar
 def word_scores(lattice: Lattice, words: list[bytes], scores: np.ndarray) -> np.ndarray:
     """log-probability of each word (rows) by model (columns), all segmentations weighed."""
     out = np.empty((len(words), scores.shape[1]))
-    for own, sizes, arcs in lattice.batches(words):
-        out[own] = forward(sizes, arcs, scores)[np.arange(len(own)), sizes]
+    lengths = np.array([len(word) for word in words])
+    for k in np.flatnonzero(lengths > LONG_WORD):
+        out[k] = lattice.long_word(words[k], scores)
+    short = np.flatnonzero(lengths <= LONG_WORD)
+    for own, sizes, arcs in lattice.batches([words[k] for k in short]):
+        out[short[own]] = forward(sizes, arcs, scores)[np.arange(len(own)), sizes]
     return out
 
 
@@ -229,6 +260,7 @@ def score_texts(
     vocabulary: str = VOCABULARY,
     passes: int = PASSES,
     hot_share: float = HOT_SHARE,
+    hot_bytes: int = HOT_BYTES,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -248,7 +280,9 @@ def score_texts(
 
     A null text counts as empty: an end alone. Each row is scored for itself, repeated ones and those
     without an id as well. With nothing to learn from, the vocabulary's own scores are used, and the
-    base score is 0. Word counts stay distributed: only words too frequent to be many are broadcast.
+    base score is 0. Word counts stay distributed: only words too frequent to be many are broadcast,
+    `hot_bytes` of them at most; the results do not depend on which. A very long text or word is
+    scored whole: scoring a word takes memory for its bytes, fitting to one for its lattice as well.
     Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -295,6 +329,9 @@ def score_texts(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["word", "n", *values])
 
     least = max(1.0, hot_share * tokens)
+    bytes_of = F.octet_length("word") + 8 * (groups + 3)
+    while (words.where(F.col("n") >= least).agg(F.sum(bytes_of)).first()[0] or 0) > hot_bytes:
+        least *= 2
     frequent = words.where(F.col("n") >= least).mapInArrow(of_words, "word binary, n long, " + ", ".join(f"{v} double" for v in values)).toArrow()
     hot_words = frequent.column("word").to_pylist()
     hot_values = np.array([np.asarray(frequent.column(v)) for v in values]).T.reshape(-1, groups)

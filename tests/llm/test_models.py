@@ -189,6 +189,16 @@ def test_lattice_weighs_all_segmentations():
     assert np.isfinite(word_scores(Lattice(pieces), [b"ab" * 30_000], scores[:, None])).all()
 
 
+def test_long_words_are_scored_alike(monkeypatch):
+    pieces, scores = load_vocabulary()
+    both = np.stack([scores, np.roll(scores, 7)], axis=1)
+    words = [b"longword" * 40, b"", "é".encode() * 99, b"x", bytes(range(128, 256))]
+    lattice = Lattice(pieces)
+    got = word_scores(lattice, words, both)
+    monkeypatch.setattr("podium.llm.lattice_lm.LONG_WORD", 0)
+    assert np.allclose(word_scores(lattice, words, both), got, rtol=1e-12)
+
+
 def test_expected_pieces_write_the_words():
     pieces, scores = load_vocabulary()
     words = [b"the", b"there", b"xyz", b"there"]
@@ -204,8 +214,9 @@ def test_base_scores_equal_the_definition(spark):
     rows = [(i, " ".join(chance.choices(["Aa", "b", "cc", "d", f"r{i}"], k=30))) for i in range(60)]
     rows += [(60, None), (61, ""), (62, "new words only"), (62, "new words only"), (None, "b b b"), (63, "w" * 40_000 + " b")]
     docs = many_partitions(documents(spark, rows))
-    for share in (2.0**-20, 0.05):  # with and without words that are joined
-        got = score_texts(docs, learn_from=F.col("doc_id") < 40, group="lang", hot_share=share, passes=1).collect()
+    for share, room in ((2.0**-20, 1 << 27), (0.05, 1 << 27), (2.0**-20, 100)):  # without and with words that are joined
+        options = {"group": "lang", "hot_share": share, "hot_bytes": room, "passes": 1}
+        got = score_texts(docs, learn_from=F.col("doc_id") < 40, **options).collect()
         counts = Counter(word for i, text in rows if i is not None and i < 40 for word in words_of(text))
         n, v = sum(counts.values()) + 40, len(counts) + 1
         expected_rows = Counter()
