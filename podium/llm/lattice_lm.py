@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +30,12 @@ HOT_SHARE = 2.0**-20
 HOT_BYTES = 1 << 27
 # Words of more bytes are scored one by one, with as much memory as the longest piece asks for.
 LONG_WORD = 1 << 12
-# Words that a task adds up before it sends them on, and bytes of words that one step lays out.
+# Words that a task adds up before it sends them on; bytes and number of words that one step lays out.
 _COUNTED = 300_000
 _CELLS = 400_000
+_WORDS = 1 << 16
+# Bytes of a long word whose pieces are looked up at once.
+_STARTS = 1 << 14
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -71,63 +74,99 @@ def load_vocabulary(path: str = VOCABULARY) -> tuple[list[bytes], np.ndarray]:
 
 
 class Lattice:
-    """The pieces as a tree of bytes; the ways to write words in pieces."""
+    """The pieces as a tree of bytes; the ways to write words in pieces.
 
-    def __init__(self, pieces: list[bytes]):
-        self.step: dict[int, int] = {}
-        self.piece: list[int] = [-1]
-        self.longest = max(map(len, pieces))
+    `go` holds the next node by node and byte, for nodes that have one, and `piece` the piece that
+    ends at a node, or -1; nodes without a next one are numbered behind the others, and -1 is none.
+    """
+
+    def __init__(self, go: np.ndarray, piece: np.ndarray, longest: int):
+        self.go, self.piece, self.longest = go, piece, longest
+
+    @classmethod
+    def of(cls, pieces: list[bytes]) -> Lattice:
+        step: dict[int, int] = {}
+        piece = [-1]
         for k, data in enumerate(pieces):
             node = 0
             for byte in data:
-                key = node << 8 | byte
-                if key not in self.step:
-                    self.step[key] = len(self.piece)
-                    self.piece.append(-1)
-                node = self.step[key]
-            self.piece[node] = k
+                node = step.setdefault(node << 8 | byte, len(piece))
+                if node == len(piece):
+                    piece.append(-1)
+            piece[node] = k
+        keys, after = np.array(list(step), dtype=np.int64), np.array(list(step.values()), dtype=np.int64)
+        inner = np.zeros(len(piece), dtype=bool)
+        inner[0] = inner[keys >> 8] = True
+        number = np.empty(len(piece), dtype=np.int32)
+        number[np.argsort(~inner, kind="stable")] = np.arange(len(piece))
+        go = np.full((int(inner.sum()), 256), -1, dtype=np.int32)
+        go[number[keys >> 8], keys & 255] = number[after]
+        numbered = np.empty(len(piece), dtype=np.int32)
+        numbered[number] = piece
+        return cls(go, numbered, max(map(len, pieces)))
+
+    @property
+    def parts(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """What makes the lattice anew elsewhere."""
+        return self.go, self.piece, self.longest
+
+    def arcs(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """start, end and piece of all pieces in `data`. A space is the start of a word only, so no
+        piece reaches into the next word."""
+        flat = np.frombuffer(data + b" ", dtype=np.uint8)
+        at = np.arange(len(data))
+        node = np.zeros(len(data), dtype=np.int32)
+        starts, ends, found = [], [], []
+        for depth in range(self.longest):
+            node = self.go[node, flat[at + depth]]
+            piece = self.piece[node]
+            here = (piece >= 0) & (node >= 0)
+            starts.append(at[here])
+            ends.append(at[here] + depth + 1)
+            found.append(piece[here])
+            on = (node >= 0) & (node < len(self.go))
+            at, node = at[on], node[on]
+            if not len(at):
+                break
+        if not starts:
+            return (np.zeros(0, dtype=np.int64),) * 3
+        return np.concatenate(starts), np.concatenate(ends), np.concatenate(found).astype(np.int64)
 
     def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Words of similar length: their indices, sizes, and arcs (word, start, end, piece)."""
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
-        step, piece = self.step, self.piece
+        """Words of similar length: their indices, sizes, and arcs (word, start, end, piece) by word."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(lengths, kind="stable")
+        cells = lengths[order] + 2
         at = 0
         while at < len(order):
-            own, arcs = [], array("q")
-            while at < len(order) and (len(own) + 1) * (len(words[order[at]]) + 2) <= max(_CELLS, len(words[order[at]]) + 2):
-                data, n = b" " + words[order[at]], len(own)
-                for start in range(len(data)):
-                    node = 0
-                    for k in range(start, len(data)):
-                        node = step.get(node << 8 | data[k])
-                        if node is None:
-                            break
-                        if piece[node] >= 0:
-                            arcs.extend((n, start, k + 1, piece[node]))
-                own.append(order[at])
-                at += 1
-            sizes = np.array([len(words[k]) + 1 for k in own])
-            yield np.array(own), sizes, np.frombuffer(arcs, dtype=np.int64).reshape(-1, 4).T
+            room = np.arange(1, min(_WORDS, len(order) - at) + 1) * cells[at : at + _WORDS]
+            own = order[at : at + max(1, int(np.searchsorted(room, _CELLS, side="right")))]
+            at += len(own)
+            sizes = lengths[own] + 1
+            first = np.cumsum(sizes) - sizes
+            start, end, piece = self.arcs(b"".join(b" " + words[k] for k in own))
+            word = np.repeat(np.arange(len(own)), sizes)[start]
+            by_word = np.argsort(word.astype(np.uint16), kind="stable")
+            yield own, sizes, np.stack([word, start - first[word], end - first[word], piece])[:, by_word]
 
     def long_word(self, word: bytes, scores: np.ndarray) -> np.ndarray:
         """log-probability of one word by model, as :func:`forward` finds it. Of its prefixes only
         those are held that a piece can still go on from."""
-        data, step, piece = b" " + word, self.step, self.piece
+        data = b" " + word
         room = self.longest + 1
         total = np.full((room, scores.shape[1]), -np.inf)
         total[0] = 0
-        for start in range(len(data)):
-            here = total[start % room].copy()
-            total[start % room] = -np.inf
-            node, ends, found = 0, [], []
-            for k in range(start, len(data)):
-                node = step.get(node << 8 | data[k])
-                if node is None:
-                    break
-                if piece[node] >= 0:
-                    ends.append((k + 1) % room)
-                    found.append(piece[node])
-            total[ends] = np.logaddexp(total[ends], here + scores[found])
+        for base in range(0, len(data), _STARTS):
+            starts = min(_STARTS, len(data) - base)
+            start, end, piece = self.arcs(data[base : base + starts + self.longest])
+            order = np.argsort(start, kind="stable")
+            cuts = np.searchsorted(start[order], np.arange(starts + 1))
+            for k in range(starts):
+                here = total[(base + k) % room].copy()
+                total[(base + k) % room] = -np.inf
+                own = order[cuts[k] : cuts[k + 1]]
+                ends = (base + end[own]) % room
+                total[ends] = np.logaddexp(total[ends], here + scores[piece[own]])
         return total[len(data) % room]
 
 
@@ -176,7 +215,7 @@ def expected(sizes: np.ndarray, arcs: np.ndarray, scores: np.ndarray) -> np.ndar
 def word_scores(lattice: Lattice, words: list[bytes], scores: np.ndarray) -> np.ndarray:
     """log-probability of each word (rows) by model (columns), all segmentations weighed."""
     out = np.empty((len(words), scores.shape[1]))
-    lengths = np.array([len(word) for word in words])
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     for k in np.flatnonzero(lengths > LONG_WORD):
         out[k] = lattice.long_word(words[k], scores)
     short = np.flatnonzero(lengths <= LONG_WORD)
@@ -216,7 +255,12 @@ def _counted(texts: DataFrame, groups: int) -> DataFrame:
     )
 
 
-def fit(words: DataFrame, groups: int, pieces: list[bytes], scores: np.ndarray, passes: int) -> np.ndarray:
+def _lists(column: pa.Array, size: int) -> np.ndarray:
+    """Lists of `size` numbers each as rows of floats."""
+    return np.asarray(column.flatten(), dtype=float).reshape(-1, size)
+
+
+def fit(words: DataFrame, groups: int, tree: Broadcast, scores: np.ndarray, passes: int) -> np.ndarray:
     """Log-probabilities of the pieces (rows) for each group of documents (columns).
 
     Fitted to the different words of each group: the lattice has to foretell new words, and these
@@ -225,13 +269,13 @@ def fit(words: DataFrame, groups: int, pieces: list[bytes], scores: np.ndarray,
     """
     scores = np.repeat(scores[:, None], groups, axis=1)
     for _ in range(passes):
-        model = words.sparkSession.sparkContext.broadcast((pieces, scores))
+        model = words.sparkSession.sparkContext.broadcast(scores)
 
         def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterable[pa.RecordBatch]:
-            pieces, scores = model.value
-            lattice, counts = Lattice(pieces), np.zeros_like(scores)
+            scores = model.value
+            lattice, counts = Lattice(*tree.value), np.zeros_like(scores)
             for batch in batches:
-                words, own = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
+                words, own = batch.column(0).to_pylist(), _lists(batch.column(1), groups)
                 for k in range(counts.shape[1]):
                     for _, sizes, arcs in lattice.batches([words[i] for i in np.flatnonzero(own[:, k])]):
                         counts[:, k] += expected(sizes, arcs, scores[:, k])
@@ -311,8 +355,9 @@ def score_texts(
     if not ends:
         first[-1] = np.log10(1 / whole[-1])
     pieces, scores = load_vocabulary(vocabulary)
-    scores = fit(words, groups, pieces, scores, passes if ends else 0)
-    model = spark.sparkContext.broadcast((pieces, scores))
+    tree = spark.sparkContext.broadcast(Lattice.of(pieces).parts)
+    scores = fit(words, groups, tree, scores, passes if ends else 0)
+    model = spark.sparkContext.broadcast(scores)
     denominator = math.log10(tokens + types + 1)
     values = [f"v{k}" for k in range(groups)]
 
@@ -321,10 +366,9 @@ def score_texts(
         return np.log10(np.maximum((counts + own_types * lifted) / whole, 1e-300))
 
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        pieces, scores = model.value
-        lattice = Lattice(pieces)
+        lattice, scores = Lattice(*tree.value), model.value
         for batch in batches:
-            got = log_shares(lattice, scores, batch.column(0).to_pylist(), np.array(batch.column(2).to_pylist(), float).reshape(-1, groups))
+            got = log_shares(lattice, scores, batch.column(0).to_pylist(), _lists(batch.column(2), groups))
             columns = [pa.array(np.ascontiguousarray(got[:, k])) for k in range(groups)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["word", "n", *values])
 
@@ -374,8 +418,7 @@ def score_texts(
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "word", "times", *(x.split()[0] for x in kept)])
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        pieces, scores = model.value
-        lattice = Lattice(pieces)
+        lattice, scores = Lattice(*tree.value), model.value
         for batch in batches:
             times = np.asarray(batch.column("times"))
             at = np.flatnonzero(times)
@@ -386,7 +429,7 @@ def score_texts(
                 # Rows come sorted by word: one lattice serves a run of equal words.
                 words = batch.column("word").take(pa.array(at)).to_pylist()
                 new = np.flatnonzero([True, *(a != b for a, b in zip(words[1:], words))])
-                counts = np.array(batch.column("by_group").take(pa.array(at[new])).to_pylist(), float).reshape(-1, groups)
+                counts = _lists(batch.column("by_group").take(pa.array(at[new])), groups)
                 got = log_shares(lattice, scores, [words[k] for k in new], counts)
                 found[at] = np.repeat(got, np.diff([*new, len(words)]), axis=0) * times[at][:, None]
             add = lambda name, x: pa.array(np.where(times > 0, x, np.asarray(batch.column(name).fill_null(0))))

@@ -182,18 +182,18 @@ def test_lattice_weighs_all_segmentations():
     assert math.isclose(np.exp(scores).sum(), 1) and len(set(pieces)) == len(pieces)
     table = dict(zip(pieces, scores))
     words = [b"the", b"interesting", "été".encode(), b"\xff\x00", b"a", b"zzzzzzzzqqqqqqqqqqxxxxxxxxx", b"the"]
-    got = word_scores(Lattice(pieces), words, np.stack([scores, scores - 1], axis=1))
+    got = word_scores(Lattice.of(pieces), words, np.stack([scores, scores - 1], axis=1))
     for word, (one, other) in zip(words, got):
         assert math.isclose(one, brute_lattice(word, table, table), rel_tol=1e-9)
         assert other < one
-    assert np.isfinite(word_scores(Lattice(pieces), [b"ab" * 30_000], scores[:, None])).all()
+    assert np.isfinite(word_scores(Lattice.of(pieces), [b"ab" * 30_000], scores[:, None])).all()
 
 
 def test_long_words_are_scored_alike(monkeypatch):
     pieces, scores = load_vocabulary()
     both = np.stack([scores, np.roll(scores, 7)], axis=1)
-    words = [b"longword" * 40, b"", "é".encode() * 99, b"x", bytes(range(128, 256))]
-    lattice = Lattice(pieces)
+    words = [b"longword" * 40, b"", "é".encode() * 99, b"x", bytes(range(128, 256)), b"reaching" * 5000]
+    lattice = Lattice.of(pieces)
     got = word_scores(lattice, words, both)
     monkeypatch.setattr("podium.llm.lattice_lm.LONG_WORD", 0)
     assert np.allclose(word_scores(lattice, words, both), got, rtol=1e-12)
@@ -203,7 +203,7 @@ def test_expected_pieces_write_the_words():
     pieces, scores = load_vocabulary()
     words = [b"the", b"there", b"xyz", b"there"]
     counts = np.zeros(len(pieces))
-    for _, sizes, arcs in Lattice(pieces).batches(words):
+    for _, sizes, arcs in Lattice.of(pieces).batches(words):
         counts += expected(sizes, arcs, scores)
     # However a word is cut, its pieces have all of its bytes.
     assert math.isclose(sum(n * len(p) for n, p in zip(counts, pieces)), sum(len(w) + 1 for w in words))
