@@ -9,7 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.common import ROW, numbered, staged
+
 BUCKETS = 1 << 15
+# Languages that are learned and broadcast together, 8 * BUCKETS bytes each (64 MB). More of them are
+# taken in blocks by a hash of half as many on average; the results are the same.
+LANGUAGES = 256
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 UNDETERMINED = "und"
@@ -69,10 +74,13 @@ def _pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield hashed()
 
 
-def learn(docs: DataFrame, *, lang: str = "lang", text: str = "text") -> tuple[list[str], np.ndarray]:
+def learn(
+    docs: DataFrame, *, lang: str = "lang", text: str = "text", documents: int | None = None
+) -> tuple[list[str], np.ndarray]:
     """Languages, and the matrix (languages x buckets + 1) of log-probabilities, log priors last.
 
-    Every text with a language counts, the whole of it. Each task sends its sums, so what reaches
+    Every text with a language counts, the whole of it; priors are shares of `documents` (of them all,
+    by default). Each task sends its sums, so what reaches
     the driver is bounded by languages times buckets.
     """
 
@@ -108,17 +116,23 @@ def learn(docs: DataFrame, *, lang: str = "lang", text: str = "text") -> tuple[l
     np.add.at(counts, (row, np.asarray(found.column("bucket"))), np.asarray(found.column("n")))
     weights = counts[:, :BUCKETS] + SMOOTHING
     matrix = np.log(weights / weights.sum(axis=1, keepdims=True))
-    priors = np.log(counts[:, BUCKETS:] / max(1.0, counts[:, BUCKETS:].sum()))
+    priors = np.log(counts[:, BUCKETS:] / max(1.0, documents or counts[:, BUCKETS:].sum()))
     return names, np.hstack([matrix, priors])
 
 
-def predict(texts: list[str | None], names: list[str], matrix: np.ndarray) -> tuple[list[str], list[float]]:
-    """The likeliest language of each text and its posterior probability."""
+def log_joint(texts: list[str | None], names: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The texts, empty if they have no letter, and log P(text, language) by text and language."""
     known = [text if text is not None and names and any(map(str.isalpha, text)) else "" for text in texts]
     total = np.tile(matrix[:, -1], (len(texts), 1))
     for buckets, of in _pieces(known):
         for k in range(len(names)):
             total[:, k] += np.bincount(of, weights=matrix[k][buckets], minlength=len(texts))
+    return known, total
+
+
+def predict(texts: list[str | None], names: list[str], matrix: np.ndarray) -> tuple[list[str], list[float]]:
+    """The likeliest language of each text and its posterior probability."""
+    known, total = log_joint(texts, names, matrix)
     if not names:
         return [UNDETERMINED] * len(texts), [0.0] * len(texts)
     best = total.argmax(axis=1)
@@ -127,6 +141,52 @@ def predict(texts: list[str | None], names: list[str], matrix: np.ndarray) -> tu
     return langs, [float(s) if text else 0.0 for s, text in zip(share, known)]
 
 
+def _by_blocks(docs: DataFrame, learned: DataFrame, blocks: int, doc_id: str, lang: str, text: str) -> DataFrame:
+    """As :func:`identify_languages`, with the languages in blocks: each row's best language and total
+    probability by block are kept, then the best and the sum over the blocks."""
+    marked = learned.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    documents = marked.count()
+    rows = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    found = None
+    for k in range(blocks):
+        own = F.pmod(F.xxhash64(F.col(lang).cast("string")), F.lit(blocks)) == k
+        names, matrix = learn(marked.where(own), lang=lang, text=text, documents=documents)
+        if not names and (found is not None or k < blocks - 1):
+            continue
+        model = docs.sparkSession.sparkContext.broadcast((names, matrix))
+
+        def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterable[pa.RecordBatch]:
+            names, matrix = model.value
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    part = batch.slice(start, 512)
+                    known, total = log_joint(part.column(3).to_pylist(), names, matrix)
+                    if names:
+                        most = total.max(axis=1)
+                        best = [names[at] if text else None for at, text in zip(total.argmax(axis=1), known)]
+                        whole = most + np.log(np.exp(total - most[:, None]).sum(axis=1))
+                    else:
+                        most, best, whole = np.zeros(len(known)), [None] * len(known), np.zeros(len(known))
+                    columns = [part.column(0), part.column(1), part.column(2), pa.array(best, pa.string())]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(most), pa.array(whole)], names=[*ROW, "doc_id", "lang_pred", "most", "whole"]
+                    )
+
+        schema = f"{ROW[0]} long, {ROW[1]} long, doc_id long, lang_pred string, most double, whole double"
+        part = staged(rows.select(*ROW, "doc_id", "text").mapInArrow(run, schema), "languages")
+        model.unpersist()
+        found = part if found is None else found.unionByName(part)
+    # Of equal totals the language that sorts first, as within a block.
+    best = F.min(F.struct((-F.col("most")).alias("least"), "lang_pred")).alias("best")
+    summed = found.groupBy(*ROW).agg(F.first("doc_id").alias("doc_id"), best, F.collect_list("whole").alias("wholes"))
+    share = 1 / F.aggregate("wholes", F.lit(0.0), lambda total, whole: total + F.exp(whole + F.col("best.least")))
+    return summed.select(
+        "doc_id",
+        F.coalesce("best.lang_pred", F.lit(UNDETERMINED)).alias("lang_pred"),
+        F.when(F.col("best.lang_pred").isNull(), 0.0).otherwise(share).alias("score"),
+    )
+
+
 def identify_languages(
     docs: DataFrame,
     *,
@@ -134,16 +194,23 @@ def identify_languages(
     doc_id: str = "doc_id",
     lang: str = "lang",
     text: str = "text",
+    languages: int = LANGUAGES,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, lang_pred, score.
 
     Learns from the rows where `learn_from` holds (all, by default) that have text and language.
     The prediction looks at the text alone. A text that is null or has no letter, and any text if
     there was nothing to learn from, gets `und` with score 0; else the score is the posterior
-    probability of lang_pred. Ties go to the language that sorts first. The matrix is broadcast:
-    its size is languages times buckets, whatever the corpus. Other columns are ignored.
+    probability of lang_pred. Ties go to the language that sorts first. Texts of any
+    length are read whole, a step at a time. The matrix of about `languages` languages at most is
+    broadcast; if there are more, they are taken in blocks, and the texts are read once for each.
+    Other columns are ignored.
     """
-    names, matrix = learn(docs if learn_from is None else docs.where(learn_from), lang=lang, text=text)
+    learned = docs if learn_from is None else docs.where(learn_from)
+    count = learned.agg(F.count_distinct(F.col(lang).cast("string"))).first()[0]
+    if count > languages:
+        return _by_blocks(docs, learned, -(-2 * count // languages), doc_id, lang, text)
+    names, matrix = learn(learned, lang=lang, text=text)
     model = docs.sparkSession.sparkContext.broadcast((names, matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:

@@ -54,6 +54,22 @@ def test_languages_of_awkward_rows(spark):
     assert identify_languages(docs.limit(0)).count() == 0
 
 
+def test_languages_in_blocks_are_the_same(spark):
+    chance = random.Random(4)
+    names = [f"l{k}" for k in range(9)]
+    rows = [(i, " ".join(chance.choices([f"{n}x", "of", "zu"], k=6)), n) for i, n in enumerate(names * 12)]
+    rows += [(500, "of of zu", None), (500, "of of zu", None), (None, "l3x", None), (501, None, "l1"), (502, "12 _", "l2"), (503, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("most", F.lit("clash")).repartition(4)
+    whole, parts = (
+        sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 9)) for r in identify_languages(docs, learn_from=F.col("doc_id") < 80, languages=n).collect()))
+        for n in (100, 3)
+    )
+    assert len(parts) == len(rows) and parts == whole
+    assert {"und", "l3"} <= {row[1] for row in parts}
+    tied = spark.createDataFrame([(k, "same text", n) for k, n in enumerate(names)], "doc_id long, text string, lang string")
+    assert {(r.lang_pred, round(r.score, 9)) for r in identify_languages(tied, languages=2).collect()} == {("l0", round(1 / 9, 9))}
+
+
 def test_scores_are_naive_bayes_posteriors(spark):
     docs = spark.createDataFrame([(1, "abab", "x"), (2, "abcb", "x"), (3, "ccd", "y")], "doc_id long, text string, lang string")
     names, matrix = learn(docs)
