@@ -17,6 +17,8 @@ LENGTHS = (512, 1024, 2048, 4096)
 SHARD_PIECES = 20_000
 # Characters of text that a task holds at a time, where it packs texts.
 SHARD_BYTES = 32 << 20
+# Characters of finished sequences that a task hands to Spark at a time.
+BLOCK_BYTES = 2 << 20
 _WORD = re.compile(WORD)
 
 
@@ -137,6 +139,7 @@ def sequences(
     cost: Callable[[int], float] = sequence_cost,
     shard_pieces: int = SHARD_PIECES,
     shard_bytes: int = SHARD_BYTES,
+    block_bytes: int = BLOCK_BYTES,
     separator: str = "\n\n",
     doc_id: str = "doc_id",
     text: str = "text",
@@ -166,11 +169,7 @@ def sequences(
         sizes = [min(longest, count - k) for k in range(0, count, longest)]
         return [(n, own_text[a:b]) for n, a, b in zip(sizes, begins, ends)]
 
-    def pack(shard: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
-        bins, offsets, capacities = best_fit([n for _, n, _ in shard], lengths, cost)
-        own: list[list[int]] = [[] for _ in capacities]
-        for k in sorted(range(len(shard)), key=offsets.__getitem__):
-            own[bins[k]].append(k)
+    def block(shard: list[tuple[int | None, int, str]], own: list[list[int]], capacities: list[int]) -> pa.RecordBatch:
         columns = [
             pa.array(capacities, pa.int64()),
             pa.array([sum(shard[k][1] for k in members) for members in own], pa.int64()),
@@ -179,6 +178,19 @@ def sequences(
         ]
         return pa.RecordBatch.from_arrays(columns, names=["capacity", "n_tokens", "doc_ids", "text"])
 
+    def pack(shard: list[tuple[int | None, int, str]]) -> Iterator[pa.RecordBatch]:
+        """All sequences of a shard, in blocks: the shard's texts are never there a second time."""
+        bins, offsets, capacities = best_fit([n for _, n, _ in shard], lengths, cost)
+        own: list[list[int]] = [[] for _ in capacities]
+        for k in sorted(range(len(shard)), key=offsets.__getitem__):
+            own[bins[k]].append(k)
+        first, size = 0, 0
+        for last, members in enumerate(own, 1):
+            size += sum(len(shard[k][2]) for k in members)
+            if size >= block_bytes or last == len(own):
+                yield block(shard, own[first:last], capacities[first:last])
+                first, size = last, 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, size = [], 0
         for batch in batches:
@@ -187,10 +199,10 @@ def sequences(
                     shard.append((own_id.as_py(), n, piece))
                     size += len(piece)
                 if len(shard) >= shard_pieces or size >= shard_bytes:
-                    yield pack(shard)
+                    yield from pack(shard)
                     shard, size = [], 0
         if shard:
-            yield pack(shard)
+            yield from pack(shard)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     packed_rows = rows.mapInArrow(run, "capacity long, n_tokens long, doc_ids array<long>, text string")

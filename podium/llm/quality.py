@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import staged, unstage
+from podium.llm.common import TEXTS_PER_BATCH, staged, unstage
 
 # Kinds of bytes whose shares describe how a text is written.
 _KINDS = np.full(256, 10, dtype=np.uint8)  # not ASCII
@@ -231,7 +230,7 @@ def score_quality(
     rows are scored alike. Without any trusted positive every score is 0.5. Learning passes over the
     features of all documents, not over a sample. Other columns are ignored.
     """
-    table = staged(described(docs, doc_id=doc_id, text=text), "quality-features")
+    table = staged(described(docs, doc_id=doc_id, text=text), "quality-features", TEXTS_PER_BATCH)
     weights = learn_quality(table, labels, learn_from=learn_from, prior=prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,12 +251,13 @@ def keep_quality(
     The model is learned as in :func:`score_quality`; the rows are then scored where they are read,
     so no text is shuffled.
     """
-    table = staged(described(docs, doc_id=doc_id, text=text), "quality-features")
+    table = staged(described(docs, doc_id=doc_id, text=text), "quality-features", TEXTS_PER_BATCH)
     weights = learn_quality(table, labels, learn_from=learn_from, prior=prior)
 
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
-        x = np.stack([features(value) for value in texts]) if len(texts) else np.zeros((0, FEATURES))
-        return pd.Series(score(x, weights) >= 0.5)
+    # Text by text out of the Arrow batch: a batch of them is never held as Python objects.
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        x = np.stack([features(value.as_py()) for value in texts]) if len(texts) else np.zeros((0, FEATURES))
+        return pa.array(score(x, weights) >= 0.5)
 
     return docs.where(good(F.col(text).cast("string")))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import ROW, map_texts, numbered, staged, unstage, without_rows
+from podium.llm.common import ROW, TEXTS_PER_BATCH, map_texts, numbered, staged, unstage, without_rows
 from podium.llm.components import components
 
 SEED = 42
@@ -291,7 +291,7 @@ def near_duplicates(
     like any other; its component's id is that of the rows that have one, null if none has. Very long
     texts are hashed whole. Other columns are ignored. An empty table gives no row.
     """
-    hashed = staged(fingerprints(docs, size=size, doc_id=doc_id, text=text), "fingerprints")
+    hashed = staged(fingerprints(docs, size=size, doc_id=doc_id, text=text), "fingerprints", TEXTS_PER_BATCH)
     known = classes(hashed, threshold=threshold, block=block, pairs_from=pairs_from)
     smallest = hashed.groupBy("fp").agg(F.min("doc_id").alias("least"))
     own = staged(known.join(smallest, "fp"), "class-ids")
@@ -310,7 +310,7 @@ def drop_near_duplicates(
     or repeated.
     """
     rows = numbered(docs)
-    hashed = staged(fingerprints(rows, size=size, doc_id=doc_id, text=text, also=ROW), "fingerprints")
+    hashed = staged(fingerprints(rows, size=size, doc_id=doc_id, text=text, also=ROW), "fingerprints", TEXTS_PER_BATCH)
     known = classes(hashed, threshold=threshold, block=block, pairs_from=pairs_from)
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW).alias("key")
     placed = staged(_joined(hashed, known, "fp").select("class", *ROW, key), "class-rows")

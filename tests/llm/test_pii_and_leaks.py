@@ -7,11 +7,13 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from podium.llm import queries
+from podium.llm.common import TEXTS_PER_BATCH, staged
 from podium.llm.decontaminate import contaminated, drop_contaminated, shingles, simhash
 from podium.llm.html_extract import _Lines, _smoothed, _threshold, extract_pages, main_text
 from podium.llm.packing import best_fit, packed, sequences
@@ -451,6 +453,31 @@ def test_sequences_of_rows_that_share_an_id(spark):
     assert Counter(w for r in got for w in r.text.split()) == Counter(w for _, t in rows for w in (t or "").split())
 
 
+def test_sequences_leave_python_in_blocks(spark, monkeypatch):
+    docs, runs = documents(spark, [(1, "a")]), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    monkeypatch.setattr(type(docs), "select", lambda self, *columns: self)
+    sequences(docs)
+    texts = ["word" * 250 + f" {k}" for k in range(12_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(12_000)), "text": texts})
+    got = [b.column(3).to_pylist() for b in runs[0](iter([batch]))]
+    assert sorted(t for own in got for row in own for t in row.split("\n\n")) == sorted(texts)
+    assert max(sum(map(len, own)) for own in got) < 4 << 20
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = spark.range(3500, numPartitions=1)
+    got = [r.n for r in staged(rows.mapInArrow(sizes, "n long"), "sizes", TEXTS_PER_BATCH).collect()]
+    assert sum(got) == 3500 and max(got) == TEXTS_PER_BATCH and spark.conf.get(setting) == before
+
+
 # --- the pipeline
 
 
