@@ -5,6 +5,7 @@ from podium.streaming.start import (
     BYTES_PER_TASK,
     EVERY_10_SECONDS,
     UNTIL_CAUGHT_UP,
+    partitions_of_batches,
     run_number,
     start_console,
     start_fan_out,
@@ -18,6 +19,7 @@ __all__ = [
     "FoldedHistory",
     "UNTIL_CAUGHT_UP",
     "bucketed_snapshot",
+    "partitions_of_batches",
     "read_history",
     "run_number",
     "snapshot",

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from podium.checks import queries
 from podium.operators import (
     STREAM,
     latest_per_key,
@@ -26,6 +27,7 @@ from podium.streaming import (
     EVERY_10_SECONDS,
     UNTIL_CAUGHT_UP,
     bucketed_snapshot,
+    partitions_of_batches,
     read_history,
     run_number,
     snapshot,
@@ -37,6 +39,8 @@ from podium.streaming import (
 from tests.athletes import RESULTS, STATS, as_stats, bio, results
 from tests.settings import session_conf
 
+FOLDER = "/root/testdata/sf0.001"
+
 KEYS = list(STREAM.group_by)
 
 
@@ -430,3 +434,20 @@ def test_state_partitions_are_the_querys_own(spark, tmp_path):
     query = run(start(spark, tmp_path, [files_writer(out)], state_partitions=3))
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_state_partitions_follow_the_batch_and_not_the_session(spark, monkeypatch):
+    customers, started = spark.read.parquet(f"{FOLDER}/customer.parquet").withColumnRenamed("c_custkey", "user_id"), []
+    cores = spark.sparkContext.defaultParallelism
+    assert partitions_of_batches(spark, 1, customers) == cores
+    assert partitions_of_batches(spark, 2**40) == 2**15
+    monkeypatch.setattr(queries, "stream_stats", lambda *a, **named: started.append(named))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "77"}):
+        queries._start_event_stats(spark, spark.read.parquet(f"{FOLDER}/events.parquet"), customers, lambda run: [])
+    assert started == [{"state_partitions": cores}]
+
+
+def test_a_topic_is_spread_over_files(spark):
+    assert queries._messages_per_file(spark.range(10)) == 3
+    assert queries._messages_per_file(spark.range(4_000_000)) == 50_000
+    assert queries._messages_per_file(spark.range(4096 * 60_000)) == 60_000
