@@ -451,3 +451,12 @@ def test_a_topic_is_spread_over_files(spark):
     assert queries._messages_per_file(spark.range(10)) == 3
     assert queries._messages_per_file(spark.range(4_000_000)) == 50_000
     assert queries._messages_per_file(spark.range(4096 * 60_000)) == 60_000
+
+
+def test_every_run_of_the_folded_history_has_few_state_partitions(spark, monkeypatch):
+    started, start_stats = [], queries._start_event_stats
+    monkeypatch.setattr(queries, "_start_event_stats", lambda *a: started.append(start_stats(*a)) or started[-1])
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "77"}):
+        rows = queries.q_folded_history(spark, FOLDER).collect()
+    used = {s["numShufflePartitions"] for query in started for p in query.recentProgress for s in p["stateOperators"]}
+    assert len(started) == 2 and rows and used == {spark.sparkContext.defaultParallelism}
