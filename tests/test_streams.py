@@ -460,3 +460,26 @@ def test_every_run_of_the_folded_history_has_few_state_partitions(spark, monkeyp
         rows = queries.q_folded_history(spark, FOLDER).collect()
     used = {s["numShufflePartitions"] for query in started for p in query.recentProgress for s in p["stateOperators"]}
     assert len(started) == 2 and rows and used == {spark.sparkContext.defaultParallelism}
+
+
+def test_one_row_group_is_published_from_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "MESSAGES_PER_FILE", 10)
+    rows = spark.range(1000).withColumn("value", F.col("id") % 7)
+    rows.coalesce(1).write.parquet(str(tmp_path / "rows"))
+    one, topics = spark.read.parquet(str(tmp_path / "rows")), [FileTopic(str(tmp_path / name)) for name in ("one", "even")]
+    queries._publish(topics[0], one, "id")
+    queries._publish(topics[1], rows.repartitionByRange(spark.sparkContext.defaultParallelism, "id"), "id")
+    for topic in topics:
+        sent = parse_messages(topic.batch(spark), "id BIGINT, value BIGINT", carry=["key"])
+        assert sorted(map(tuple, sent.collect())) == sorted((str(i).encode(), i, i % 7) for i in range(1000))
+    written = [{path.name.split("-")[1] for path in (tmp_path / name).glob("part-*")} for name in ("one", "even")]
+    # Dealt out, in files of ten; and rows that lie evenly already are left where they are.
+    assert len(written[0]) == 21 and len(written[1]) == spark.sparkContext.defaultParallelism
+
+
+def test_short_and_empty_topics_are_not_dealt_out(spark, tmp_path):
+    for name, count in (("short", 100), ("empty", 0)):
+        topic = FileTopic(str(tmp_path / name))
+        queries._publish(topic, spark.range(count).coalesce(1), "id")
+        assert topic.batch(spark).count() == count
+    assert len(list((tmp_path / "short").glob("part-*"))) == 4
