@@ -2,11 +2,13 @@
 
 import datetime as dt
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from podium.checks.database import database
 from podium.operators import StatsSpec, parse_messages
 from podium.plans import FileTopic, KafkaTopic, publish_table, read_stats, round_trip_stats, stream_stats
 from podium.schemas import ATHLETE_BIO, ATHLETE_EVENT_RESULTS, STREAM_STATS
@@ -91,6 +93,24 @@ def test_password_is_not_shown():
     }
 
 
+def _session(master, **setting):
+    """What `database` looks at of a session."""
+    conf = {f"spark.podium.jdbc.{part}": value for part, value in setting.items()}
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,5000]", "spark://host:7077", "yarn"])
+def test_executors_need_a_named_database(master):
+    with pytest.raises(ValueError, match="spark.podium.jdbc.url"):
+        database(_session(master))
+    assert database(_session(master, url="jdbc:x", driver="d")) == Jdbc("jdbc:x", "d")
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*,4]"])
+def test_one_process_may_use_a_database_of_its_own(master):
+    assert database(_session(master)).url.startswith("jdbc:derby:memory:")
+
+
 # Jobs
 
 
